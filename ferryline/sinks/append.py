@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -41,25 +41,20 @@ def replace_batch(
     batch: object,
     column: str = "batch_number",
     batch_type: str = "string",
-) -> int:
-    """Make ``df`` the whole content of one batch; gives the number of rows written.
+) -> None:
+    """Make ``df`` the whole content of one batch.
 
     Only the directory of the batch is written, other batches are not read. The new
     files replace the old ones when the job commits, so a failed load leaves the old
     batch in place and loading a batch twice equals loading it once.
     """
-    counted = Observation()
-    rows = (
-        df.withColumn(column, F.lit(batch).cast(batch_type))
-        .observe(counted, F.count(F.lit(1)).alias("rows"))
-    )
-    _overwrite_partitions(rows, path, column)
-    written = counted.get["rows"]
-    if written == 0:
-        # An overwrite that names no partition replaces none: empty the batch here.
-        files = Files(df.sparkSession, path)
-        files.delete(files.partition(path, column, batch))
-    return written
+    files = Files(df.sparkSession, path)
+    stored = files.partition(path, column, batch)
+    before = files.file_names(stored)
+    _overwrite_partitions(df.withColumn(column, F.lit(batch).cast(batch_type)), path, column)
+    if before and files.file_names(stored) == before:
+        # No row, so the job named no partition to replace: empty the batch here.
+        files.delete(stored)
 
 
 def replace_batches(
@@ -83,9 +78,10 @@ def replace_batches(
                 files.delete(files.partition(path, column, batch))
 
 
-def append_once(df: DataFrame, path: str, load_id: object, column: str = "load_id") -> int:
+def append_once(df: DataFrame, path: str, load_id: object, column: str = "load_id") -> None:
     """Append that can be repeated: the load is a batch, and a replay replaces it."""
-    return replace_batch(df, path, load_id, column, "bigint" if isinstance(load_id, int) else "string")
+    kind = "bigint" if isinstance(load_id, int) else "string"
+    replace_batch(df, path, load_id, column, kind)
 
 
 def _overwrite_partitions(df: DataFrame, path: str, column: str) -> None:

@@ -21,8 +21,8 @@ class Child:
 
 def fan_out(
     roots: DataFrame, children: list[Child], root: Child, base: str, load_id: object
-) -> dict[str, int]:
-    """Write every child table, then the root table; gives rows per table.
+) -> None:
+    """Write every child table, then the root table.
 
     The writes are separate jobs, so the root comes last and marks a whole document:
     a reader that takes only ids found in the root never sees half of one. Each write
@@ -31,10 +31,8 @@ def fan_out(
     """
     roots = roots.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return {
-            part.table: append_once(part.rows(roots), f"{base}/{part.table}", load_id)
-            for part in [*children, root]
-        }
+        for part in [*children, root]:
+            append_once(part.rows(roots), f"{base}/{part.table}", load_id)
     finally:
         roots.unpersist()
 

@@ -23,8 +23,8 @@ from ferryline.sources.changelog import DELETED
 class KeyedTable:
     """``buckets`` should put 128 MB to 1 GB into one directory at the expected size.
 
-    It is part of the layout: the partition column is named after it, so opening a
-    table with another number finds no data column to match and fails.
+    It is part of the layout and of its directory names, so opening a table with another
+    number fails.
     """
 
     path: str
@@ -57,39 +57,45 @@ class KeyedTable:
         spark = changes.sparkSession
         self.recover(spark)
         extra = [F.col(DELETED)] if deletes else []
-        staged = (
-            changes.select(*self._conform(), *extra)
-            .withColumn(self.bucket, self._bucket_of())
-            .persist(StorageLevel.MEMORY_AND_DISK)
+        changes = changes.select(*self._conform(), *extra).withColumn(
+            self.bucket, self._bucket_of()
         )
+        if not self._bucket_names(spark):
+            # First load: nothing to merge with, so one pass.
+            self._replace(spark, self._rows(changes).hint("rebalance", self.bucket), [])
+            return
+        staged = changes.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             # At most ``buckets`` values; this also fills the cache, whose size is then known.
             touched = [r[0] for r in staged.select(self.bucket).distinct().collect()]
             if touched:
-                self._rewrite(spark, staged, touched, deletes)
+                self._replace(spark, self._merged(spark, staged, touched), touched)
         finally:
             staged.unpersist()
 
-    def _rewrite(
-        self, spark: SparkSession, staged: DataFrame, touched: list[int], deletes: bool
-    ) -> None:
+    def _rows(self, changes: DataFrame) -> DataFrame:
+        kept = changes.where(~F.col(DELETED)) if DELETED in changes.columns else changes
+        return kept.select(*self.schema.names, self.bucket)
+
+    def _merged(self, spark: SparkSession, staged: DataFrame, touched: list[int]) -> DataFrame:
+        """New content of the touched directories: stored rows of other keys, and the new rows."""
         join_on = [self.bucket, *self.keys]
         changed = staged.select(*join_on)
+        rows = self._rows(staged)
         stored = self._stored(spark).where(F.col(self.bucket).isin(touched))
-        rows = (staged.where(~F.col(DELETED)) if deletes else staged).select(
-            *self.schema.names, self.bucket
-        )
         if _fits_broadcast(spark, changed):
             # Few changes: stored rows are filtered where they are read, without a shuffle.
             kept = stored.join(F.broadcast(changed), join_on, "left_anti")
-            merged = kept.select(rows.columns).unionByName(rows.repartition(self.bucket))
-        else:
-            kept = stored.join(changed, join_on, "left_anti")
-            merged = kept.select(rows.columns).unionByName(rows).hint("rebalance", self.bucket)
+            return kept.select(*rows.columns).unionByName(rows.repartition(self.bucket))
+        kept = stored.join(changed, join_on, "left_anti")
+        return kept.select(*rows.columns).unionByName(rows).hint("rebalance", self.bucket)
+
+    def _replace(self, spark: SparkSession, merged: DataFrame, touched: list[int]) -> None:
+        """Stage the new directories, then put them in the place of the touched ones."""
         merge = f"{self.path}/_merge"
         merged.write.mode("overwrite").partitionBy(self.bucket).parquet(f"{merge}/data")
         files = Files(spark, self.path)
-        written = set(files.names(f"{merge}/data"))
+        written = set(files.directory_names(f"{merge}/data"))
         emptied = sorted({f"{self.bucket}={b}" for b in touched} - written)
         files.write_text(f"{merge}/ready", json.dumps(emptied))
         self.recover(spark)
@@ -108,7 +114,7 @@ class KeyedTable:
         if files.exists(f"{merge}/ready"):
             for name in json.loads(files.read_text(f"{merge}/ready")):
                 files.delete(f"{self.path}/{name}")
-            for name in files.names(f"{merge}/data"):
+            for name in files.directory_names(f"{merge}/data"):
                 if name.startswith(f"{self.bucket}="):
                     files.delete(f"{self.path}/{name}")
                     files.rename(f"{merge}/data/{name}", f"{self.path}/{name}")
@@ -130,13 +136,16 @@ class KeyedTable:
         hashed = F.xxhash64(*self.keys)
         return F.pmod(hashed, F.lit(self.buckets)).cast("int")
 
+    def _bucket_names(self, spark: SparkSession) -> list[str]:
+        names = Files(spark, self.path).directory_names(self.path)
+        found = [n for n in names if n.startswith("bucket_of_")]
+        if any(not n.startswith(f"{self.bucket}=") for n in found):
+            raise ValueError(f"{self.path} is not laid out in {self.buckets} buckets")
+        return found
+
     def _stored(self, spark: SparkSession) -> DataFrame:
         schema = StructType([*self.schema, StructField(self.bucket, IntegerType())])
-        names = Files(spark, self.path).names(self.path)
-        parts = [n for n in names if n.startswith("bucket_of_")]
-        if any(not n.startswith(f"{self.bucket}=") for n in parts):
-            raise ValueError(f"{self.path} is not laid out in {self.buckets} buckets")
-        if not parts:
+        if not self._bucket_names(spark):
             return spark.createDataFrame([], schema)
         return spark.read.schema(schema).parquet(self.path)
 

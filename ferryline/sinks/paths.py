@@ -14,12 +14,17 @@ class Files:
     def exists(self, path: str) -> bool:
         return self._fs.exists(self._path(path))
 
-    def names(self, path: str) -> list[str]:
-        """Names of the directories below a path."""
+    def _listed(self, path: str, directories: bool) -> list[str]:
         if not self.exists(path):
             return []
         found = self._fs.listStatus(self._path(path))
-        return sorted(s.getPath().getName() for s in found if s.isDirectory())
+        return sorted(s.getPath().getName() for s in found if s.isDirectory() == directories)
+
+    def directory_names(self, path: str) -> list[str]:
+        return self._listed(path, True)
+
+    def file_names(self, path: str) -> list[str]:
+        return self._listed(path, False)
 
     def delete(self, path: str) -> None:
         self._fs.delete(self._path(path), True)

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
-from pyspark.sql import functions as F
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ferryline.operators.filters import drop_control_rows, is_control_row
@@ -16,7 +16,8 @@ GRACE_SECONDS = 30
 class EndSignal:
     """Wraps a writer: takes end rows out of each batch and notes that one was there.
 
-    The end row is looked for while the batch is written, not in a pass of its own.
+    The batch is kept while it is written, so looking for the end row does not fetch and
+    decode it again.
     """
 
     def __init__(self, write: BatchWriter, key: str, prefix: str):
@@ -26,11 +27,13 @@ class EndSignal:
         self._prefix = prefix
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        noted = Observation()
-        is_end = is_control_row(self._key, self._prefix)
-        watched = batch.observe(noted, F.max(is_end).alias("end"))
-        self._write(drop_control_rows(watched, self._key, self._prefix), batch_id)
-        self.seen = self.seen or bool(noted.get["end"])
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self._write(drop_control_rows(batch, self._key, self._prefix), batch_id)
+            if not batch.where(is_control_row(self._key, self._prefix)).isEmpty():
+                self.seen = True
+        finally:
+            batch.unpersist()
 
 
 def run_until_end(
