@@ -42,7 +42,9 @@ def partition_by_key(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.hint("rebalance", *keys)
 
 
-# Keyed writes as pure frames. ``sinks.KeyedTable`` runs the same steps on storage.
+# Keyed writes as pure frames. The changes are used twice, for their keys and for their
+# rows, so expensive ones should be persisted or landed first. ``sinks.KeyedTable`` does
+# the same on storage and reads its changes once.
 
 
 def upsert(
@@ -73,5 +75,5 @@ def apply_changes(
 def _replace(
     target: DataFrame, touched: DataFrame, rows: DataFrame, keys: list[str]
 ) -> DataFrame:
-    untouched = target.join(touched.select(*keys), keys, "left_anti").select(*target.columns)
+    untouched = target.join(touched.select(*keys).distinct(), keys, "left_anti").select(*target.columns)
     return untouched.unionByName(rows)

@@ -13,8 +13,12 @@ from ferryline.operators.project import explode_children
 
 
 def new_keys_only(remote: DataFrame, loaded: DataFrame, keys: list[str]) -> DataFrame:
-    """Offered rows whose key is not loaded yet."""
-    return remote.join(loaded.select(*keys), keys, "left_anti")
+    """Offered rows whose key is not loaded yet.
+
+    Loaded keys are made distinct within each task first, so a key on very many loaded
+    rows, such as a date, travels once per task.
+    """
+    return remote.join(loaded.select(*keys).distinct(), keys, "left_anti")
 
 
 def parent_children(

@@ -102,7 +102,7 @@ def asset_frames(
     return AssetFrames(summaries, models, properties)
 
 
-def save_metadata(frames: AssetFrames, base: str, buckets: int = 4) -> None:
+def save_metadata(frames: AssetFrames, base: str, buckets: int = 1) -> None:
     """Upsert assets and models by id; replace properties by model, sortie and code.
 
     A code listed twice for one model keeps its last entry.
@@ -128,15 +128,16 @@ def copy_asset_tables(
     tables: Mapping[str, TableRef],
     columns: Mapping[str, str],
     base: str,
-) -> dict[str, str]:
+    buckets: int = 16,
+) -> dict[str, DataFrame]:
     """Copy each asset's table, cut to the sortie's time where the table has a time column."""
 
     def cut(column: str | None) -> Callable[[DataFrame], DataFrame]:
         return lambda df: optional_time_range(df, column, sortie["start_ms"], sortie["end_ms"])
 
     select = {name: cut(columns.get(name)) for name in tables}
-    return copy_tables(spark, tables, f"{base}/real_world_flight", select)
+    return copy_tables(spark, tables, f"{base}/real_world_flight", select, buckets)
 
 
-def metadata_table(spec: FeedSpec, base: str, buckets: int = 4) -> KeyedTable:
+def metadata_table(spec: FeedSpec, base: str, buckets: int = 1) -> KeyedTable:
     return KeyedTable(spec.location(base), spec.target_schema, spec.keys, buckets)

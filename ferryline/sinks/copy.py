@@ -6,31 +6,45 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ferryline.sinks.append import create_if_absent
+from ferryline.sinks.append import append, create_if_absent
+from ferryline.sinks.keyed import KeyedTable
 from ferryline.sources.tables import TableRef
 
+Select = Callable[[DataFrame], DataFrame]
+
 
 def copy_table(
     spark: SparkSession,
     source: TableRef,
     path: str,
-    select: Callable[[DataFrame], DataFrame] | None = None,
-) -> None:
-    """Create the target like the source if it is absent, then append the selected rows."""
+    select: Select | None = None,
+    buckets: int = 16,
+) -> DataFrame:
+    """Copy the selected rows of a table into one with the same columns; gives the copy.
+
+    The target is created if absent. With a key, rows of a repeated copy overwrite those
+    with the same key; without one they are appended.
+    """
     df = source.read(spark)
+    rows = select(df) if select else df
+    if source.keys:
+        target = KeyedTable(path, df.schema, source.keys, buckets)
+        target.upsert(rows, [])
+        return target.read(spark)
     create_if_absent(spark, path, df.schema)
-    (select(df) if select else df).write.mode("append").parquet(path)
+    append(rows, path)
+    return spark.read.parquet(path)
 
 
 def copy_tables(
     spark: SparkSession,
     sources: Mapping[str, TableRef],
     base: str,
-    select: Mapping[str, Callable[[DataFrame], DataFrame]] | None = None,
-) -> dict[str, str]:
-    """One job per listed table; gives the path of each copy. The list is metadata-sized."""
-    paths = {}
-    for name, source in sources.items():
-        paths[name] = f"{base}/{name}"
-        copy_table(spark, source, paths[name], (select or {}).get(name))
-    return paths
+    select: Mapping[str, Select] | None = None,
+    buckets: int = 16,
+) -> dict[str, DataFrame]:
+    """One copy per listed table. The list is metadata-sized, each copy is one Spark job."""
+    return {
+        name: copy_table(spark, source, f"{base}/{name}", (select or {}).get(name), buckets)
+        for name, source in sources.items()
+    }

@@ -10,7 +10,7 @@ import json
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
@@ -19,6 +19,9 @@ from ferryline.sinks.paths import Files
 from ferryline.sources.changelog import DELETED
 
 
+_NEW = "_new"
+
+
 @dataclass(frozen=True)
 class KeyedTable:
     """``buckets`` should put 128 MB to 1 GB into one directory at the expected size.
@@ -44,8 +47,11 @@ class KeyedTable:
         self._write(latest_per_key(changes, list(self.keys), sequence))
 
     def delete_insert(self, rows: DataFrame) -> None:
-        """Delete every stored row whose key occurs in ``rows``, then insert ``rows``."""
-        self._write(rows)
+        """Delete every stored row whose key occurs in ``rows``, then insert ``rows``.
+
+        Unlike the other writes this one allows several rows per key.
+        """
+        self._write(rows, unique=False)
 
     def apply_changes(self, changes: DataFrame, sequence: list[str]) -> None:
         """Replay decoded changes, including deletes."""
@@ -53,11 +59,11 @@ class KeyedTable:
 
     # Writing
 
-    def _write(self, changes: DataFrame, deletes: bool = False) -> None:
+    def _write(self, changes: DataFrame, deletes: bool = False, unique: bool = True) -> None:
         spark = changes.sparkSession
         self.recover(spark)
-        extra = [F.col(DELETED)] if deletes else []
-        changes = changes.select(*self._conform(), *extra).withColumn(
+        deleted = F.col(DELETED) if deletes else F.lit(False)
+        changes = changes.select(*self._conform(), deleted.alias(DELETED)).withColumn(
             self.bucket, self._bucket_of()
         )
         if not self._bucket_names(spark):
@@ -69,25 +75,36 @@ class KeyedTable:
             # At most ``buckets`` values; this also fills the cache, whose size is then known.
             touched = [r[0] for r in staged.select(self.bucket).distinct().collect()]
             if touched:
-                self._replace(spark, self._merged(spark, staged, touched), touched)
+                self._replace(spark, self._merged(spark, staged, touched, unique), touched)
         finally:
             staged.unpersist()
 
     def _rows(self, changes: DataFrame) -> DataFrame:
-        kept = changes.where(~F.col(DELETED)) if DELETED in changes.columns else changes
-        return kept.select(*self.schema.names, self.bucket)
+        return changes.where(~F.col(DELETED)).select(*self.schema.names, self.bucket)
 
-    def _merged(self, spark: SparkSession, staged: DataFrame, touched: list[int]) -> DataFrame:
+    def _merged(
+        self, spark: SparkSession, staged: DataFrame, touched: list[int], unique: bool
+    ) -> DataFrame:
         """New content of the touched directories: stored rows of other keys, and the new rows."""
-        join_on = [self.bucket, *self.keys]
-        changed = staged.select(*join_on)
+        key = [self.bucket, *self.keys]
+        changed = staged.select(*key)
         rows = self._rows(staged)
         stored = self._stored(spark).where(F.col(self.bucket).isin(touched))
         if _fits_broadcast(spark, changed):
             # Few changes: stored rows are filtered where they are read, without a shuffle.
-            kept = stored.join(F.broadcast(changed), join_on, "left_anti")
+            kept = stored.join(F.broadcast(changed.distinct()), key, "left_anti")
             return kept.select(*rows.columns).unionByName(rows.repartition(self.bucket))
-        kept = stored.join(changed, join_on, "left_anti")
+        if unique:
+            # Many changes: one shuffle brings both sides of a directory together and
+            # leaves them in place for the write. A key has at most two rows here.
+            both = stored.withColumns({DELETED: F.lit(False), _NEW: F.lit(0)}).unionByName(
+                staged.withColumn(_NEW, F.lit(1))
+            )
+            newest = F.max(_NEW).over(Window.partitionBy(*key))
+            latest = both.hint("rebalance", self.bucket).withColumn("_newest", newest)
+            return self._rows(latest.where(F.col(_NEW) == F.col("_newest")))
+        # Many rows per key are possible: a join, as Spark can split a hot key of one.
+        kept = stored.join(changed.distinct(), key, "left_anti")
         return kept.select(*rows.columns).unionByName(rows).hint("rebalance", self.bucket)
 
     def _replace(self, spark: SparkSession, merged: DataFrame, touched: list[int]) -> None:

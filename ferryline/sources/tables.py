@@ -39,11 +39,15 @@ def jdbc_options(
 
 @dataclass(frozen=True)
 class TableRef:
-    """Where a table lives: ``parquet`` path, ``table`` in the catalog, or ``jdbc`` options."""
+    """Where a table lives: ``parquet`` path, ``table`` in the catalog, or ``jdbc`` options.
+
+    ``keys`` is its unique key, where it has one.
+    """
 
     kind: str
     location: str = ""
     options: dict[str, str] = field(default_factory=dict)
+    keys: tuple[str, ...] = ()
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The table with the schema it has now."""

@@ -202,8 +202,8 @@ def asset_copy(spark, sf_dir):
         "o_orderkey", local_to_epoch_ms(F.col("o_orderdate"), assets.ZONE).alias("t0")
     ).write.parquet(timed)
     tables = {
-        "timed": TableRef("parquet", timed),
-        "untimed": TableRef("parquet", f"{sf_dir}/part.parquet"),
+        "timed": TableRef("parquet", timed, keys=("o_orderkey",)),
+        "untimed": TableRef("parquet", f"{sf_dir}/part.parquet", keys=("p_partkey",)),
     }
     listed = orders.select(
         F.lit("s-1").alias("sortie_number"), F.lit("J-1").alias("airplane_number"),
@@ -233,12 +233,13 @@ def asset_copy(spark, sf_dir):
     for _ in range(2):
         assets.save_metadata(frames, base)
     columns = assets.time_columns(frames.properties)
-    paths = assets.copy_asset_tables(spark, sortie, tables, columns, base)
+    for _ in range(2):
+        copies = assets.copy_asset_tables(spark, sortie, tables, columns, base)
     stored = [
-        read_table(spark, paths["timed"]).select(
+        copies["timed"].select(
             F.lit("timed").alias("target"), F.col("o_orderkey").cast("string").alias("id")
         ),
-        read_table(spark, paths["untimed"]).select(
+        copies["untimed"].select(
             F.lit("untimed").alias("target"), F.col("p_partkey").cast("string").alias("id")
         ),
     ]

@@ -7,7 +7,7 @@ from pyspark.sql.types import StructField, StructType
 
 from ferryline import operators as op
 from ferryline.session import new_dir
-from ferryline.sinks import KeyedTable
+from ferryline.sinks import KeyedTable, append, read_table
 from ferryline.sources import decode_changes
 from ferryline.suite.tables import table
 
@@ -156,8 +156,11 @@ def counts(spark, sf_dir):
 
 
 def counts_by_user(spark, sf_dir):
-    gathered = op.partition_by_key(table(spark, sf_dir, "events").select("user_id"), ["user_id"])
-    return op.batch_counts(gathered, "user_id")
+    """Events gathered by type, so that each directory gets few files; then counts per user."""
+    path = new_dir(spark, "gathered")
+    events = table(spark, sf_dir, "events")
+    append(op.partition_by_key(events, ["event_type"]), path, ["event_type"])
+    return op.batch_counts(read_table(spark, path, events.schema), "user_id")
 
 
 def latest(spark, sf_dir):

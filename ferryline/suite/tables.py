@@ -18,7 +18,7 @@ def blocks(df: DataFrame, key: str, size: int, *extra: Column, name: str = "reco
 
 
 def block_of(key: str, size: int) -> Column:
-    return F.floor(F.col(key) / F.lit(size)).cast("bigint")
+    return F.expr(f"{key} DIV {size}")
 
 
 def write_texts(df: DataFrame, path: str) -> str:
