@@ -31,6 +31,7 @@ def local_session(cpus: str = "*", app: str = "ferryline", **conf: str) -> Spark
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
     )

@@ -13,7 +13,7 @@ from ferryline.session import new_dir
 from ferryline.sinks import read_table
 from ferryline.sources import TableRef
 from ferryline.suite.derived import comparable, records, sql_columns
-from ferryline.suite.tables import blocks, table, write_texts
+from ferryline.suite.tables import blocks, spread, table, write_texts
 
 IMPORT_ID = 42
 BATCH = "0007"
@@ -24,7 +24,7 @@ def csv_feed_query(code):
 
     def run(spark, sf_dir):
         base = new_dir(spark, code)
-        on_file = records(table(spark, sf_dir, "events"), spec)
+        on_file = records(spread(spark, sf_dir, "events"), spec)
         on_file.write.option("header", True).csv(f"{base}/in")
         load(spark, spec, f"{base}/in", base, IMPORT_ID, BATCH)
         stored = read_table(spark, spec.location(base), spec.target_schema)

@@ -9,12 +9,12 @@ from ferryline import operators as op
 from ferryline.session import new_dir
 from ferryline.sinks import KeyedTable, append, read_table
 from ferryline.sources import decode_changes
-from ferryline.suite.tables import table
+from ferryline.suite.tables import spread, table
 
 
 def change_messages(spark, sf_dir):
     """Every order created; finished ones deleted later, pending ones updated later."""
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(spark, sf_dir, "orders")
     row = F.struct(*orders.columns)
     cheaper = F.struct(
         *[(F.col(c) / 2 if c == "o_totalprice" else F.col(c)).alias(c) for c in orders.columns]

@@ -12,7 +12,7 @@ from ferryline.sinks import append_once, encode_messages, read_table
 from ferryline.streaming import EndSignal, file_stream, land, run_until_end, with_event_time
 from ferryline.suite.derived import records, sql_columns
 from ferryline.suite.feeds import IMPORT_ID, PLAN_SQL, plan_documents, plan_rows
-from ferryline.suite.tables import blocks, table
+from ferryline.suite.tables import blocks, spread, table
 
 MESSAGES = "value STRING, partition INT, offset BIGINT"
 
@@ -45,25 +45,27 @@ def stopped(spark, sf_dir):
     return read_table(spark, f"{base}/out", events.schema)
 
 
-def stream_messages(spark, sends, base):
-    """Land messages as files and read them as a stream, one file after the other.
+def run_feed(spark, spec, sends, base, end=None):
+    """Send messages to a folder and land them, one run of the feed per send.
 
-    Each send is written after the one before it, as a topic would keep them in order.
-    Within a send every key occurs once.
+    Every run goes on where the one before it stopped. Within a send a key occurs once.
+    The last run polls until the ``end`` row if there is one.
     """
-    for messages in sends:
-        messages.select(
-            "value", F.lit(0).alias("partition"), F.col("offset").cast("bigint").alias("offset")
-        ).write.mode("append").parquet(f"{base}/in")
-    return file_stream(spark, f"{base}/in", MESSAGES, files_per_batch=1)
 
+    def send(messages):
+        messages.select("value", F.lit(0).alias("partition"), "offset").write.mode(
+            "append"
+        ).parquet(f"{base}/in")
+        return file_stream(spark, f"{base}/in", MESSAGES)
+
+    def start(stream, **more):
+        return load_stream(stream, spec, base, f"{base}/check", IMPORT_ID, **more)
 
-def run_feed(spark, spec, sends, base, **more):
-    stream = stream_messages(spark, sends, base)
-    query, signal = load_stream(stream, spec, base, f"{base}/check", IMPORT_ID, **more)
-    if signal is None:
+    for messages in sends:
+        query, _ = start(send(messages))
         query.awaitTermination()
-    else:
+    if end is not None:
+        query, signal = start(send(end), end_prefix="END_")
         run_until_end(query, signal, grace_seconds=1)
 
 
@@ -75,7 +77,7 @@ def sensor_feed_query(code):
 
     def run(spark, sf_dir):
         base = new_dir(spark, code)
-        events = table(spark, sf_dir, "events")
+        events = spread(spark, sf_dir, "events")
         rows = records(events, spec)
         if spec.source == "message_array":
             packed = blocks(
@@ -86,7 +88,9 @@ def sensor_feed_query(code):
                 F.col("block").alias("offset"),
             )
         else:
-            messages = encode_messages(rows).select("value", F.lit(0).alias("offset"))
+            messages = encode_messages(rows).select(
+                "value", F.lit(0).cast("bigint").alias("offset")
+            )
         run_feed(spark, spec, [messages], base)
         return read_table(spark, spec.location(base), spec.target_schema)
 
@@ -99,19 +103,18 @@ def keyed_feed_query(code, changed):
 
     def run(spark, sf_dir):
         base = new_dir(spark, code)
-        events = table(spark, sf_dir, "events")
+        events = spread(spark, sf_dir, "events")
         early = records(events, spec, **{changed: F.lit("early")})
         late = records(events, spec)
         key = F.substring_index(spec.keys[0], "-", -1).cast("bigint")
         sends = [encode_messages_with(early, key), encode_messages_with(late, key)]
-        more = {}
+        end = None
         if spec.control_key:
-            end = records(
+            last = records(
                 events.orderBy("event_id").limit(1), spec, **{spec.control_key: F.lit("END_1")}
             )
-            sends.append(encode_messages_with(end, F.lit(0)))
-            more = {"end_prefix": "END_"}
-        run_feed(spark, spec, sends, base, **more)
+            end = encode_messages_with(last, F.lit(0))
+        run_feed(spark, spec, sends, base, end)
         return keyed_table(spec, base, 16).read(spark)
 
     return run, f"SELECT {', '.join(sql_columns(spec))}, {LINEAGE_SQL} FROM events"
@@ -128,7 +131,7 @@ def replicated_feed_query(code):
 
     def run(spark, sf_dir):
         base = new_dir(spark, code)
-        events = table(spark, sf_dir, "events")
+        events = spread(spark, sf_dir, "events")
         nothing = F.lit(None).cast(spec.source_schema)
 
         def changes(rows, operation):

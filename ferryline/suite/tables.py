@@ -10,6 +10,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table dealt out evenly, so that making input from one small file uses all cores."""
+    return table(spark, sf_dir, name).hint("rebalance")
+
+
 def blocks(df: DataFrame, key: str, size: int, *extra: Column, name: str = "records") -> DataFrame:
     """Pack rows into lists by ranges of a unique key, so a list has at most ``size`` rows."""
     return df.groupBy(block_of(key, size).alias("block")).agg(
