@@ -12,11 +12,13 @@ from ferryline.sinks.copy import copy_table, copy_tables
 from ferryline.sinks.fanout import Child, fan_out, route
 from ferryline.sinks.jdbc import jdbc_append, jdbc_upsert_statement
 from ferryline.sinks.keyed import KeyedTable
+from ferryline.sinks.merge import MergeTable
 from ferryline.sinks.publish import encode_messages, export_json, publish
 
 __all__ = [
     "Child",
     "KeyedTable",
+    "MergeTable",
     "append",
     "append_once",
     "copy_table",

@@ -104,11 +104,11 @@ def plan_feed_query(code, variant, database):
         base = new_dir(spark, code)
         documents = plan_documents(spark, sf_dir)
         texts = documents.select(
-            F.col("id").alias("block"), F.to_json(F.array(F.struct("*"))).alias("value")
+            F.col("id").alias("block"), F.to_json(F.struct("*")).alias("value")
         )
         lists = (
-            texts.groupBy(F.floor(F.col("block").cast("bigint") / 50).alias("block"))
-            .agg(F.collect_list(F.expr("substring(value, 2, length(value) - 2)")).alias("all"))
+            texts.groupBy(F.expr("CAST(block AS BIGINT) DIV 50").alias("block"))
+            .agg(F.collect_list("value").alias("all"))
             .select("block", F.concat(F.lit("["), F.array_join("all", ","), F.lit("]")).alias("value"))
         )
         path = write_texts(lists, f"{base}/in")

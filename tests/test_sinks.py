@@ -6,6 +6,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from ferryline.session import new_dir, shared_dir
 from ferryline.sinks import (
     KeyedTable,
+    MergeTable,
     append_once,
     create_if_absent,
     encode_messages,
@@ -204,6 +205,20 @@ def test_upsert_statement():
     )
 
 
+def test_merge_needs_a_table_format_with_merge(spark, tmp_path):
+    """No such format is installed, so this only shows that the statement resolves."""
+    spark.sql(f"CREATE TABLE merged (k BIGINT, v STRING) USING parquet LOCATION '{tmp_path}/m'")
+    try:
+        target = MergeTable("merged", SCHEMA, ("k",))
+        with pytest.raises(Exception, match="MERGE"):
+            target.upsert(frame(spark, (1, "a", 0)), ["n"])
+        marked = frame(spark, (1, "a", 0, True), schema=f"k BIGINT, v STRING, n INT, {DELETED} BOOLEAN")
+        with pytest.raises(Exception, match="MERGE"):
+            target.apply_changes(marked, ["n"])
+    finally:
+        spark.sql("DROP TABLE merged")
+
+
 def test_shared_folder(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert named is None or shared_dir(spark) == named.rstrip("/")
