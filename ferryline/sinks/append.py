@@ -20,10 +20,14 @@ def create_if_absent(spark: SparkSession, path: str, schema: StructType) -> bool
     """An empty table with a schema, unless there is one already."""
     if Files(spark, path).exists(path):
         return False
-    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+    empty_frame(spark, schema).write.mode("ignore").parquet(path)
     return True
 
 
+def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """A table as stored, or with a declared schema and without columns only the layout has.
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ferryline.operators.keyed import latest_per_key
+from ferryline.sinks.append import empty_frame
 from ferryline.sinks.paths import Files
 from ferryline.sources.changelog import DELETED
 
@@ -163,7 +164,7 @@ class KeyedTable:
     def _stored(self, spark: SparkSession) -> DataFrame:
         schema = StructType([*self.schema, StructField(self.bucket, IntegerType())])
         if not self._bucket_names(spark):
-            return spark.createDataFrame([], schema)
+            return empty_frame(spark, schema)
         return spark.read.schema(schema).parquet(self.path)
 
 

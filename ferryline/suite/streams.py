@@ -110,9 +110,8 @@ def keyed_feed_query(code, changed):
         sends = [encode_messages_with(early, key), encode_messages_with(late, key)]
         end = None
         if spec.control_key:
-            last = records(
-                events.orderBy("event_id").limit(1), spec, **{spec.control_key: F.lit("END_1")}
-            )
+            newest = events.agg(*[F.max(c).alias(c) for c in ("event_id", "ts", "value")])
+            last = records(newest, spec, **{spec.control_key: F.lit("END_1")})
             end = encode_messages_with(last, F.lit(0))
         run_feed(spark, spec, sends, base, end)
         return keyed_table(spec, base, 16).read(spark)
