@@ -21,6 +21,7 @@ from ferryline.sources.changelog import DELETED
 
 
 _NEW = "_new"
+_SLICE = "_slice"
 
 
 @dataclass(frozen=True)
@@ -97,12 +98,16 @@ class KeyedTable:
             return kept.select(*rows.columns).unionByName(rows.repartition(self.bucket))
         if unique:
             # Many changes: one shuffle brings both sides of a directory together and
-            # leaves them in place for the write. A key has at most two rows here.
+            # leaves them in place for the write. A key has at most two rows here. A
+            # directory is split by key so that few directories still use all cores.
+            tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            slices = F.pmod(F.hash(*self.keys), F.lit(-(-tasks // len(touched))))
             both = stored.withColumns({DELETED: F.lit(False), _NEW: F.lit(0)}).unionByName(
                 staged.withColumn(_NEW, F.lit(1))
             )
-            newest = F.max(_NEW).over(Window.partitionBy(*key))
-            latest = both.hint("rebalance", self.bucket).withColumn("_newest", newest)
+            both = both.withColumn(_SLICE, slices).hint("rebalance", self.bucket, _SLICE)
+            newest = F.max(_NEW).over(Window.partitionBy(self.bucket, _SLICE, *self.keys))
+            latest = both.withColumn("_newest", newest)
             return self._rows(latest.where(F.col(_NEW) == F.col("_newest")))
         # Many rows per key are possible: a join, as Spark can split a hot key of one.
         kept = stored.join(changed.distinct(), key, "left_anti")

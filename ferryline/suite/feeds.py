@@ -51,7 +51,7 @@ def personnel_file(spark, sf_dir):
                 person.withColumn("event_id", _number_of("personal_identifier")), "event_id"
             ),
             "event_id",
-            1000,
+            5000,
         )
         texts = packed.select("block", F.to_json("records").alias("value"))
         load(spark, spec, write_texts(texts, f"{base}/{part}"), base, IMPORT_ID)
@@ -107,7 +107,7 @@ def plan_feed_query(code, variant, database):
             F.col("id").alias("block"), F.to_json(F.struct("*")).alias("value")
         )
         lists = (
-            texts.groupBy(F.expr("CAST(block AS BIGINT) DIV 50").alias("block"))
+            texts.groupBy(F.expr("CAST(block AS BIGINT) DIV 1000").alias("block"))
             .agg(F.collect_list("value").alias("all"))
             .select("block", F.concat(F.lit("["), F.array_join("all", ","), F.lit("]")).alias("value"))
         )

@@ -34,14 +34,14 @@ def csv_round_trip(spark, sf_dir):
 
 def json_arrays(spark, sf_dir):
     part = table(spark, sf_dir, "part")
-    packed = blocks(part, "p_partkey", 1000).select("block", F.to_json("records").alias("value"))
+    packed = blocks(part, "p_partkey", 5000).select("block", F.to_json("records").alias("value"))
     path = write_texts(packed, new_dir(spark, "json-array"))
     return json_array_files(spark, path, part.schema).select(*part.columns)
 
 
 def json_documents(spark, sf_dir):
     supplier = table(spark, sf_dir, "supplier")
-    packed = blocks(supplier, "s_suppkey", 100, name="suppliers")
+    packed = blocks(supplier, "s_suppkey", 1000, name="suppliers")
     documents = packed.select(
         "block", F.to_json(F.struct(F.col("block").alias("id"), "suppliers")).alias("value")
     )
@@ -158,7 +158,7 @@ QUERIES = {
     "q02_json_array_file": (json_arrays, "SELECT * FROM part"),
     "q03_json_doc_file": (
         json_documents,
-        "SELECT s_suppkey // 100 AS id, * FROM supplier",
+        "SELECT s_suppkey // 1000 AS id, * FROM supplier",
     ),
     "q04_json_message": (
         object_messages,

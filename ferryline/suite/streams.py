@@ -21,7 +21,7 @@ def landed(spark, sf_dir):
     """The file of ``events`` as a stream, with event time, into a table."""
     events = table(spark, sf_dir, "events")
     base = new_dir(spark, "land")
-    stream = file_stream(spark, sf_dir, events.schema, pathGlobFilter="events*.parquet")
+    stream = file_stream(spark, f"{sf_dir}/events*.parquet", events.schema)
     stream = with_event_time(stream, "ts").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     query = land(
         stream, lambda rows, batch_id: append_once(rows, f"{base}/out", batch_id), f"{base}/check"
