@@ -1,35 +1,52 @@
 """Keyed tables on plain Parquet: upsert, delete-and-insert, change replay.
 
 Rows are spread over a fixed number of directories by a hash of the key, so a write
-reads and rewrites only the directories its keys fall into. One writer per table.
+reads and rewrites only the directories its keys fall into. New directories are written
+beside the old ones, and then one small file says which ones make up the table.
 """
 
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from ferryline.operators.keyed import latest_per_key
 from ferryline.sinks.append import empty_frame
 from ferryline.sinks.paths import Files
 from ferryline.sources.changelog import DELETED
 
-
+_BUCKET = "_bucket"
 _NEW = "_new"
 _SLICE = "_slice"
 
 
+@dataclass(frozen=True)
+class Version:
+    """Which write each directory of the table comes from."""
+
+    number: int
+    buckets: int
+    writes: dict[int, int] = field(default_factory=dict)
+
+    def paths(self, data: str) -> set[str]:
+        return {f"{data}/write={w}/{_BUCKET}={b}" for b, w in self.writes.items()}
+
+
 @dataclass(frozen=True)
 class KeyedTable:
-    """``buckets`` should put 128 MB to 1 GB into one directory at the expected size.
+    """A table with a key. One writer at a time, any number of readers.
+
+    A write becomes visible as a whole or not at all, on any storage: it moves no data
+    and ends by adding a file. A lost driver leaves the table as it was. The directories
+    a write replaces stay until the write after it, for readers that still use them.
 
-    It is part of the layout and of its directory names, so opening a table with another
-    number fails.
+    ``buckets`` is for a new table; an existing one knows its own. It should put 128 MB
+    to 1 GB into one directory at the expected size.
     """
 
     path: str
@@ -37,12 +54,8 @@ class KeyedTable:
     keys: tuple[str, ...]
     buckets: int = 16
 
-    @property
-    def bucket(self) -> str:
-        return f"bucket_of_{self.buckets}"
-
     def read(self, spark: SparkSession) -> DataFrame:
-        return self._stored(spark).select(*self.schema.names)
+        return self._stored(spark, self._version(spark)).select(*self.schema.names)
 
     def upsert(self, changes: DataFrame, sequence: list[str]) -> None:
         """Insert new keys, overwrite known ones; the last change of a key wins."""
@@ -63,39 +76,41 @@ class KeyedTable:
 
     def _write(self, changes: DataFrame, deletes: bool = False, unique: bool = True) -> None:
         spark = changes.sparkSession
-        self.recover(spark)
+        version = self._version(spark)
         deleted = F.col(DELETED) if deletes else F.lit(False)
+        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(version.buckets)).cast("int")
         changes = changes.select(*self._conform(), deleted.alias(DELETED)).withColumn(
-            self.bucket, self._bucket_of()
+            _BUCKET, bucket
         )
-        if not self._bucket_names(spark):
-            # First load: nothing to merge with, so one pass.
-            self._replace(spark, self._rows(changes).hint("rebalance", self.bucket), [])
+        if not version.writes:
+            # Nothing to merge with, so one pass.
+            self._replace(version, self._rows(changes).hint("rebalance", _BUCKET), [])
             return
         staged = changes.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             # At most ``buckets`` values; this also fills the cache, whose size is then known.
-            touched = [r[0] for r in staged.select(self.bucket).distinct().collect()]
+            touched = [r[0] for r in staged.select(_BUCKET).distinct().collect()]
             if touched:
-                self._replace(spark, self._merged(spark, staged, touched, unique), touched)
+                self._replace(version, self._merged(version, staged, touched, unique), touched)
         finally:
             staged.unpersist()
 
     def _rows(self, changes: DataFrame) -> DataFrame:
-        return changes.where(~F.col(DELETED)).select(*self.schema.names, self.bucket)
+        return changes.where(~F.col(DELETED)).select(*self.schema.names, _BUCKET)
 
     def _merged(
-        self, spark: SparkSession, staged: DataFrame, touched: list[int], unique: bool
+        self, version: Version, staged: DataFrame, touched: list[int], unique: bool
     ) -> DataFrame:
         """New content of the touched directories: stored rows of other keys, and the new rows."""
-        key = [self.bucket, *self.keys]
+        spark = staged.sparkSession
+        key = [_BUCKET, *self.keys]
         changed = staged.select(*key)
         rows = self._rows(staged)
-        stored = self._stored(spark).where(F.col(self.bucket).isin(touched))
+        stored = self._stored(spark, version).where(F.col(_BUCKET).isin(touched))
         if _fits_broadcast(spark, changed):
             # Few changes: stored rows are filtered where they are read, without a shuffle.
             kept = stored.join(F.broadcast(changed.distinct()), key, "left_anti")
-            return kept.select(*rows.columns).unionByName(rows.repartition(self.bucket))
+            return kept.select(*rows.columns).unionByName(rows.repartition(_BUCKET))
         if unique:
             # Many changes: one shuffle brings both sides of a directory together and
             # leaves them in place for the write. A key has at most two rows here. A
@@ -105,48 +120,50 @@ class KeyedTable:
             both = stored.withColumns({DELETED: F.lit(False), _NEW: F.lit(0)}).unionByName(
                 staged.withColumn(_NEW, F.lit(1))
             )
-            both = both.withColumn(_SLICE, slices).hint("rebalance", self.bucket, _SLICE)
-            newest = F.max(_NEW).over(Window.partitionBy(self.bucket, _SLICE, *self.keys))
+            both = both.withColumn(_SLICE, slices).hint("rebalance", _BUCKET, _SLICE)
+            newest = F.max(_NEW).over(Window.partitionBy(_BUCKET, _SLICE, *self.keys))
             latest = both.withColumn("_newest", newest)
             return self._rows(latest.where(F.col(_NEW) == F.col("_newest")))
         # Many rows per key are possible: a join, as Spark can split a hot key of one.
         kept = stored.join(changed.distinct(), key, "left_anti")
-        return kept.select(*rows.columns).unionByName(rows).hint("rebalance", self.bucket)
+        return kept.select(*rows.columns).unionByName(rows).hint("rebalance", _BUCKET)
+
+    def _replace(self, version: Version, merged: DataFrame, touched: list[int]) -> None:
+        """Write new directories, then make them part of the table in place of the touched ones."""
+        number = version.number + 1
+        target = f"{self._data}/write={number}"
+        merged.write.mode("overwrite").partitionBy(_BUCKET).parquet(target)
+        files = Files(merged.sparkSession, self.path)
+        kept = {b: w for b, w in version.writes.items() if b not in touched}
+        written = [int(n.split("=")[1]) for n in files.directory_names(target) if "=" in n]
+        new = Version(number, version.buckets, kept | {b: number for b in written})
+        body = {"buckets": new.buckets, "writes": new.writes}
+        files.write_text(f"{self._versions}/{number}.json", json.dumps(body))
+        self._clean(files, version, new)
+
+    def _clean(self, files: Files, before: Version, new: Version) -> None:
+        """Delete what only versions older than the one before this write refer to."""
+        names = [int(n.split(".")[0]) for n in files.file_names(self._versions) if n.endswith(".json")]
+        for number in names:
+            if number < before.number:
+                old = self._load(files, number)
+                unused = old.paths(self._data) - before.paths(self._data) - new.paths(self._data)
+                for path in unused:
+                    files.delete(path)
+                files.delete(f"{self._versions}/{number}.json")
 
-    def _replace(self, spark: SparkSession, merged: DataFrame, touched: list[int]) -> None:
-        """Stage the new directories, then put them in the place of the touched ones."""
-        merge = f"{self.path}/_merge"
-        merged.write.mode("overwrite").partitionBy(self.bucket).parquet(f"{merge}/data")
-        files = Files(spark, self.path)
-        written = set(files.directory_names(f"{merge}/data"))
-        emptied = sorted({f"{self.bucket}={b}" for b in touched} - written)
-        files.write_text(f"{merge}/ready", json.dumps(emptied))
-        self.recover(spark)
-
-    def recover(self, spark: SparkSession) -> None:
-        """Finish a rewrite that is complete, drop one that is not.
+    # Layout
 
-        Every write starts with this, and a new writer may call it before reading. Each
-        step can be repeated, so a driver lost half way loses nothing: the new
-        directories stay staged until they are in place.
-        """
-        files = Files(spark, self.path)
-        merge = f"{self.path}/_merge"
-        if not files.exists(merge):
-            return
-        if files.exists(f"{merge}/ready"):
-            for name in json.loads(files.read_text(f"{merge}/ready")):
-                files.delete(f"{self.path}/{name}")
-            for name in files.directory_names(f"{merge}/data"):
-                if name.startswith(f"{self.bucket}="):
-                    files.delete(f"{self.path}/{name}")
-                    files.rename(f"{merge}/data/{name}", f"{self.path}/{name}")
-        files.delete(merge)
+    @property
+    def _data(self) -> str:
+        return f"{self.path}/data"
 
-    # Layout
+    @property
+    def _versions(self) -> str:
+        return f"{self.path}/versions"
 
     def _conform(self) -> list[Column]:
-        """Columns in the declared types; the bucket hash depends on them. No null keys."""
+        """Columns in the declared types; the hash of the key depends on them. No null keys."""
         columns = []
         for f in self.schema:
             column = F.col(f.name).cast(f.dataType)
@@ -155,22 +172,25 @@ class KeyedTable:
             columns.append(column.alias(f.name))
         return columns
 
-    def _bucket_of(self) -> Column:
-        hashed = F.xxhash64(*self.keys)
-        return F.pmod(hashed, F.lit(self.buckets)).cast("int")
-
-    def _bucket_names(self, spark: SparkSession) -> list[str]:
-        names = Files(spark, self.path).directory_names(self.path)
-        found = [n for n in names if n.startswith("bucket_of_")]
-        if any(not n.startswith(f"{self.bucket}=") for n in found):
-            raise ValueError(f"{self.path} is not laid out in {self.buckets} buckets")
-        return found
-
-    def _stored(self, spark: SparkSession) -> DataFrame:
-        schema = StructType([*self.schema, StructField(self.bucket, IntegerType())])
-        if not self._bucket_names(spark):
-            return empty_frame(spark, schema)
-        return spark.read.schema(schema).parquet(self.path)
+    def _version(self, spark: SparkSession) -> Version:
+        files = Files(spark, self.path)
+        names = [n for n in files.file_names(self._versions) if n.endswith(".json")]
+        if not names:
+            return Version(0, self.buckets)
+        return self._load(files, max(int(n.split(".")[0]) for n in names))
+
+    def _load(self, files: Files, number: int) -> Version:
+        body = json.loads(files.read_text(f"{self._versions}/{number}.json"))
+        return Version(number, body["buckets"], {int(b): w for b, w in body["writes"].items()})
+
+    def _stored(self, spark: SparkSession, version: Version) -> DataFrame:
+        layout = [StructField("write", LongType()), StructField(_BUCKET, IntegerType())]
+        schema = StructType([*self.schema, *layout])
+        if not version.writes:
+            return empty_frame(spark, schema).drop("write")
+        paths = sorted(version.paths(self._data))
+        reader = spark.read.schema(schema).option("basePath", self._data)
+        return reader.parquet(*paths).drop("write")
 
 
 def _fits_broadcast(spark: SparkSession, df: DataFrame) -> bool:

@@ -57,11 +57,8 @@ def test_shuffled_merge_gives_the_same(spark, keyed, rows):
 
 def test_only_touched_directories_are_rewritten(spark, keyed):
     keyed.upsert(frame(spark, *[(i, "old", 0) for i in range(40)]), ["n"])
-    files = Files(spark, keyed.path)
-    before = {d: files.file_names(f"{keyed.path}/{d}") for d in files.directory_names(keyed.path)}
     keyed.upsert(frame(spark, (1, "new", 0)), ["n"])
-    after = {d: files.file_names(f"{keyed.path}/{d}") for d in files.directory_names(keyed.path)}
-    assert sum(before[d] != after[d] for d in before) == 1 and before.keys() == after.keys()
+    assert sorted(keyed._version(spark).writes.values()) == [1, 1, 1, 2]
 
 
 def test_key_type_does_not_matter(spark, keyed, rows):
@@ -100,50 +97,74 @@ def test_delete_insert_keeps_repeated_keys(spark, keyed, rows):
     assert rows(keyed.read(spark)) == [(1, "a"), (1, "a"), (2, "x"), (2, "y")]
 
 
-@pytest.mark.parametrize("swapped", [0, 1, 2])
-def test_driver_lost_while_directories_are_swapped(spark, keyed, rows, monkeypatch, swapped):
-    """The next writer finishes a rewrite that was complete when the driver was lost."""
-    change = f"k BIGINT, v STRING, n INT, {DELETED} BOOLEAN"
-    rows_in = [(i, "old", 0, False) for i in range(40)]
-    keyed.apply_changes(frame(spark, *rows_in, schema=change), ["n"])
-    left = [swapped]
-    rename = Files.rename
-
-    def failing(self, source, target):
-        if "/_merge/data/" in source:
-            if not left[0]:
-                raise OSError("lost")
-            left[0] -= 1
-        rename(self, source, target)
-
-    monkeypatch.setattr(Files, "rename", failing)
-    update = [(i, "new", 1, i % 2 == 0) for i in range(40)]
-    with pytest.raises(OSError, match="lost"):
-        keyed.apply_changes(frame(spark, *update, schema=change), ["n"])
-    monkeypatch.undo()
-    keyed.recover(spark)
-    assert rows(keyed.read(spark)) == sorted(((i, "new") for i in range(1, 40, 2)), key=repr)
-
-
-def test_driver_lost_before_the_rewrite_was_complete(spark, keyed, rows, monkeypatch):
-    keyed.upsert(frame(spark, (1, "old", 0)), ["n"])
+def test_driver_lost_before_the_write_was_complete(spark, keyed, rows, monkeypatch):
+    keyed.upsert(frame(spark, (1, "old", 0), (5, "old", 0)), ["n"])
 
     def failing(self, path, text):
         raise OSError("lost")
 
     monkeypatch.setattr(Files, "write_text", failing)
     with pytest.raises(OSError, match="lost"):
-        keyed.upsert(frame(spark, (1, "new", 0)), ["n"])
+        keyed.upsert(frame(spark, (1, "new", 0), (9, "new", 0)), ["n"])
     monkeypatch.undo()
-    assert rows(keyed.read(spark)) == [(1, "old")]
+    assert rows(keyed.read(spark)) == [(1, "old"), (5, "old")]
     keyed.upsert(frame(spark, (2, "b", 0)), ["n"])
-    assert rows(keyed.read(spark)) == [(1, "old"), (2, "b")]
+    assert rows(keyed.read(spark)) == [(1, "old"), (2, "b"), (5, "old")]
+
+
+def test_readers_keep_their_version_during_the_next_write(spark, keyed, rows):
+    keyed.upsert(frame(spark, *[(i, "a", 0) for i in range(20)]), ["n"])
+    before = keyed.read(spark)
+    keyed.upsert(frame(spark, *[(i, "b", 0) for i in range(20)]), ["n"])
+    assert {v for _, v in rows(before)} == {"a"}
+    assert {v for _, v in rows(keyed.read(spark))} == {"b"}
+
+
+def test_replaced_directories_go_away(spark, keyed):
+    for n in range(4):
+        keyed.upsert(frame(spark, *[(i, str(n), 0) for i in range(20)]), ["n"])
+    files = Files(spark, keyed.path)
+    kept = [w for w in files.directory_names(f"{keyed.path}/data")
+            if files.directory_names(f"{keyed.path}/data/{w}")]
+    assert kept == ["write=3", "write=4"]
+    assert files.file_names(f"{keyed.path}/versions") == ["3.json", "4.json"]
 
 
-def test_other_number_of_buckets_fails(spark, keyed):
-    keyed.upsert(frame(spark, (1, "a", 0)), ["n"])
-    with pytest.raises(ValueError, match="buckets"):
-        KeyedTable(keyed.path, SCHEMA, ("k",), buckets=8).read(spark)
+def test_changes_may_come_from_the_table_itself(spark, keyed, rows):
+    keyed.upsert(frame(spark, (1, "a", 0), (2, "b", 0)), ["n"])
+    again = keyed.read(spark).selectExpr("k + 1 AS k", "upper(v) AS v")
+    keyed.upsert(again, [])
+    assert rows(keyed.read(spark)) == [(1, "a"), (2, "A"), (3, "B")]
+
+
+def test_a_table_knows_its_number_of_buckets(spark, keyed, rows):
+    keyed.upsert(frame(spark, *[(i, "a", 0) for i in range(20)]), ["n"])
+    other = KeyedTable(keyed.path, SCHEMA, ("k",), buckets=8)
+    other.upsert(frame(spark, (3, "b", 0)), ["n"])
+    assert dict(rows(keyed.read(spark))) == {i: "b" if i == 3 else "a" for i in range(20)}
+
+
+def test_small_merges_do_not_shuffle_stored_rows(spark, keyed):
+    keyed.upsert(frame(spark, *[(i, "a", 0) for i in range(20)]), ["n"])
+    version = keyed._version(spark)
+    staged = frame(spark, (1, "b", 0)).selectExpr("k", "v", f"false AS {DELETED}", "0 AS _bucket").persist()
+    staged.count()
+
+    def plan():
+        merged = keyed._merged(version, staged, [0, 1, 2, 3], unique=True)
+        return merged._jdf.queryExecution().executedPlan().toString()
+
+    small = plan()
+    stored = small[small.index("LeftAnti"):small.index("BroadcastExchange")]
+    assert "FileScan" in stored and "Exchange" not in stored
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = plan()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert large.split("InMemoryRelation")[0].count("Exchange hashpartitioning") == 1
+    staged.unpersist()
 
 
 def test_one_key_with_a_third_of_all_changes(spark, keyed, rows):
