@@ -1,6 +1,6 @@
 """Structured Streaming: triggers, landing with the batch writers, end-of-feed stop."""
 
-from ferryline.streaming.land import BatchWriter, file_stream, land
+from ferryline.streaming.land import BatchWriter, file_stream, land, load_name
 from ferryline.streaming.run_mode import run_trigger
 from ferryline.streaming.stop import EndSignal, run_until_end
 from ferryline.streaming.watermark import with_event_time
@@ -10,6 +10,7 @@ __all__ = [
     "EndSignal",
     "file_stream",
     "land",
+    "load_name",
     "run_trigger",
     "run_until_end",
     "with_event_time",

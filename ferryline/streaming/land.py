@@ -30,6 +30,18 @@ def file_stream(
     )
 
 
+def load_name(batch: DataFrame, batch_id: int) -> str:
+    """A name for one micro-batch that no other stream and no file load can have.
+
+    The id of the query is kept in its checkpoint: it is the same when a batch is
+    repeated, and another one when a stream is started afresh.
+    """
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if query is None:
+        raise RuntimeError("not inside a micro-batch of a stream")
+    return f"{query}-{batch_id}"
+
+
 def land(
     stream: DataFrame,
     write: BatchWriter,
@@ -40,7 +52,7 @@ def land(
     """Start writing a stream. ``write(rows, batch_id)`` must bear being repeated.
 
     After a failure Spark delivers the last micro-batch again under the same id, so
-    writers replace their load (``append_once``) or merge by key (``KeyedTable``).
+    writers replace their load (``append_once``, named by ``load_name``) or merge by key.
     """
     return (
         stream.writeStream.foreachBatch(write)

@@ -8,6 +8,7 @@ from ferryline.streaming import (
     EndSignal,
     file_stream,
     land,
+    load_name,
     run_trigger,
     run_until_end,
     with_event_time,
@@ -47,6 +48,25 @@ def test_restart_continues_and_a_failed_batch_is_repeated(spark, tmp_path, rows)
     assert calls == [0, 0, 1]
 
 
+def test_two_streams_into_one_table(spark, tmp_path):
+    spec = FEEDS["F47"]
+    base = str(tmp_path / "out")
+    for name in ("one", "two"):
+        send(spark, str(tmp_path / name), f'{{"task_id":1,"illuminance":{len(name)}}}')
+        for _ in range(2):
+            query, _ = load_stream(
+                file_stream(spark, str(tmp_path / name), MESSAGES), spec, base,
+                str(tmp_path / f"check-{name}"), 5,
+            )
+            query.awaitTermination()
+    assert read_table(spark, spec.location(base), spec.target_schema).count() == 2
+
+
+def test_load_names_belong_to_a_stream(spark):
+    with pytest.raises(RuntimeError):
+        load_name(spark.range(1), 0)
+
+
 def test_keyed_feed_over_two_runs(spark, tmp_path, rows):
     spec = FEEDS["F48"]
     source, base, check = (str(tmp_path / n) for n in ("in", "out", "check"))
