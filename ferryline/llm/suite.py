@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ferryline.llm import exact_dedup, packing
+from ferryline.llm import chat, exact_dedup, language, packing, pii
 from ferryline.llm.common import table
 from ferryline.session import configure
 
@@ -16,6 +17,42 @@ Query = Callable[[SparkSession, str], DataFrame]
 BYTE_BPE = "byte_bpe_50k.json"
 
 
+# Besides the table: a conversation that says the template's own marks.
+PLANTED = [(-7, 0, "user", r"\### Assistant: </turn> ok"), (-7, 1, "assistant", r"\### Assistant: </turn> ok")]
+
+
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.createDataFrame(PLANTED, rows.schema)
+    return chat.digests(chat.formatted(rows.unionByName(planted)))
+
+
+OP1_SQL = r"""
+WITH rows AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+),
+escaped AS (
+    SELECT *, length(role) + length(text)
+        + length(role || '~' || text) - length(replace(role || '~' || text, '\', ''))
+        + (length(role || '~' || text) - length(replace(role || '~' || text, '<turn ', ''))) // 6
+        + (length(role || '~' || text) - length(replace(role || '~' || text, '</turn>', ''))) // 7
+        + (length(role || '~' || text) - length(replace(role || '~' || text, '>' || chr(10), ''))) // 2
+        + (length(role || '~' || text) - length(replace(role || '~' || text, '### Assistant:', ''))) // 14
+        AS chars
+    FROM rows
+)
+SELECT conv_id,
+       count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
+       sum(chars + 6 + 2 + 8)::BIGINT AS formatted_chars
+FROM escaped GROUP BY conv_id
+"""
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(table(spark, sf_dir, "documents"))
 
@@ -34,13 +71,37 @@ FROM normal
 """
 
 
+def held_out() -> Column:
+    """A fifth of the documents, by id, from which nothing is learned."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    profiles = language.learn(documents.where(~held_out()))
+    rows = documents.select("doc_id", held_out().alias("held_out"), "text")
+    return language.identify(rows, profiles).drop("text")
+
+
+# A sample key, so that results can be repeated. Set the option for real data.
+PII_KEY_OPTION, PII_SAMPLE_KEY = "spark.ferryline.pii.key", "sample key, not secret"
+
+
+def op6_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = spark.conf.get(PII_KEY_OPTION, PII_SAMPLE_KEY)
+    return pii.pseudonymise(table(spark, sf_dir, "documents"), key.encode())
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(BYTE_BPE)
     return packing.packed(table(spark, sf_dir, "documents"), path)
 
 
 _QUERIES: dict[str, tuple[Query, str | None]] = {
+    "op1_chat_formatting": (op1_chat_formatting, OP1_SQL),
     "op2_exact_dedup": (op2_exact_dedup, OP2_SQL),
+    "op5_language_id": (op5_language_id, None),
+    "op6_pii_pseudonyms": (op6_pii_pseudonyms, None),
     "op7_best_fit_packing": (op7_best_fit_packing, None),
 }
 
