@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferryline.llm import chat, exact_dedup, language, packing, pii
+from ferryline.llm import chat, exact_dedup, language, packing, pieces, pii, token_counts
 from ferryline.llm.common import table
 from ferryline.session import configure
 
@@ -97,12 +97,31 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), path)
 
 
+PIECES = "piece_bpe_32k.model"
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, and whether decoding them gives the text again."""
+    path = public_tokenizers.path(PIECES)
+    documents = table(spark, sf_dir, "documents")
+    coded = pieces.encode(documents, path)
+    back = pieces.decode(coded, path)
+    return back.select("doc_id", "ids", "n_tokens", F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(BYTE_BPE)
+    return token_counts.count(table(spark, sf_dir, "documents"), path)
+
+
 _QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_chat_formatting": (op1_chat_formatting, OP1_SQL),
     "op2_exact_dedup": (op2_exact_dedup, OP2_SQL),
     "op5_language_id": (op5_language_id, None),
     "op6_pii_pseudonyms": (op6_pii_pseudonyms, None),
     "op7_best_fit_packing": (op7_best_fit_packing, None),
+    "op8_sentencepiece": (op8_sentencepiece, None),
+    "op10_token_counts": (op10_token_counts, None),
 }
 
 
