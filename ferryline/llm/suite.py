@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferryline.llm import chat, exact_dedup, language, packing, pieces, pii, token_counts
+from ferryline.llm import chat, exact_dedup, language, neighbours, packing, pieces, pii, token_counts
 from ferryline.llm.common import table
 from ferryline.session import configure
 
@@ -109,6 +109,12 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "ids", "n_tokens", F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    queries = vectors.where(F.col("vec_id") % 20 == 0)
+    return neighbours.search(neighbours.build(vectors), queries)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(BYTE_BPE)
     return token_counts.count(table(spark, sf_dir, "documents"), path)
@@ -121,6 +127,7 @@ _QUERIES: dict[str, tuple[Query, str | None]] = {
     "op6_pii_pseudonyms": (op6_pii_pseudonyms, None),
     "op7_best_fit_packing": (op7_best_fit_packing, None),
     "op8_sentencepiece": (op8_sentencepiece, None),
+    "op9_neighbours": (op9_neighbours, None),
     "op10_token_counts": (op10_token_counts, None),
 }
 
