@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferryline.llm import chat, exact_dedup, language, neighbours, packing, pieces, pii, token_counts
+from ferryline.llm import chat, exact_dedup, jaccard, language, neighbours, packing, pieces, pii, token_counts
 from ferryline.llm.common import table
 from ferryline.session import configure
 
@@ -71,6 +71,46 @@ FROM normal
 """
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.join(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "links", "kept")
+
+
+OP3_SQL = r"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, string_split_regex(
+        regexp_replace(lower(coalesce(text, '')), '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+        '[\x20\x09-\x0D]+') AS w
+    FROM documents
+),
+shingled AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+    FROM worded, unnest(range(1, greatest(len(w) - 3, 2))) AS t(i)
+    WHERE w[1] <> ''
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingled GROUP BY doc_id),
+meeting AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both
+    FROM shingled a JOIN shingled b ON a.s = b.s AND a.doc_id <> b.doc_id
+    GROUP BY ALL
+),
+link AS (
+    SELECT a, b FROM meeting JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 5 * n_both >= 4 * (x.n + y.n - n_both)
+),
+reach AS (
+    SELECT a, b FROM link
+    UNION
+    SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+),
+class AS (SELECT a, least(a, min(b)) AS class_id FROM reach GROUP BY a),
+degree AS (SELECT a, count(*) AS links FROM link GROUP BY a)
+SELECT d.doc_id, coalesce(class_id, d.doc_id) AS class_id, coalesce(links, 0) AS links,
+       coalesce(class_id, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN class ON class.a = d.doc_id LEFT JOIN degree ON degree.a = d.doc_id
+"""
+
+
 def held_out() -> Column:
     """A fifth of the documents, by id, from which nothing is learned."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
@@ -123,6 +163,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_chat_formatting": (op1_chat_formatting, OP1_SQL),
     "op2_exact_dedup": (op2_exact_dedup, OP2_SQL),
+    "op3_jaccard_join": (op3_jaccard_join, OP3_SQL),
     "op5_language_id": (op5_language_id, None),
     "op6_pii_pseudonyms": (op6_pii_pseudonyms, None),
     "op7_best_fit_packing": (op7_best_fit_packing, None),
