@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferryline.llm import chat, exact_dedup, jaccard, language, neighbours, packing, pieces, pii, token_counts
+from ferryline.llm import chat, exact_dedup, jaccard, language, neighbours, packing, pieces, pii, secrets, token_counts
 from ferryline.llm.common import table
 from ferryline.session import configure
 
@@ -111,6 +111,13 @@ FROM documents d LEFT JOIN class ON class.a = d.doc_id LEFT JOIN degree ON degre
 """
 
 
+def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate with its score; the secret itself only as a digest."""
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    digest = F.sha2("candidate", 256).alias("candidate_sha256")
+    return found.select("doc_id", "place", "start", "stop", "kind", "score", "is_secret", digest)
+
+
 def held_out() -> Column:
     """A fifth of the documents, by id, from which nothing is learned."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
@@ -164,6 +171,7 @@ _QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_chat_formatting": (op1_chat_formatting, OP1_SQL),
     "op2_exact_dedup": (op2_exact_dedup, OP2_SQL),
     "op3_jaccard_join": (op3_jaccard_join, OP3_SQL),
+    "op4_secret_scans": (op4_secret_scans, None),
     "op5_language_id": (op5_language_id, None),
     "op6_pii_pseudonyms": (op6_pii_pseudonyms, None),
     "op7_best_fit_packing": (op7_best_fit_packing, None),
