@@ -229,6 +229,7 @@ _NUMBER = re.compile(
     re.X,
 )
 _IBAN = re.compile(r"[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?")
+_GROUPS = re.compile(r"(.*\d)[ .-]\d+")
 _NAME = re.compile(r"[A-Za-z0-9._%+-]{1,64}$")
 _DOMAIN = re.compile(r"@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}[A-Za-z0-9])?\.)+[A-Za-z]{2,24}")
 
@@ -252,9 +253,14 @@ def _matches(text: str) -> Iterator[tuple[str, int, int]]:
                     found = "iban", i - 2, n.end()
             elif not (before.isalnum() or before in "_+(") and (n := _NUMBER.match(text, i)):
                 found = next(k for k in KINDS if n.groupdict().get(k)), i, n.end()
-        if found and (found[2] == len(text) or not _joined(text, found[2])):
-            if (yield found):
-                at = done = found[2]
+        while found:
+            kind, start, stop = found
+            if (stop == len(text) or not _joined(text, stop)) and (yield found):
+                at = done = stop
+                break
+            # The groups of a phone number may run on into the number after it.
+            shorter = _GROUPS.fullmatch(text, start, stop) if kind == "phone" else None
+            found = (kind, start, shorter.end(1)) if shorter else None
 
 
 def _joined(text: str, end: int) -> bool:

@@ -1,0 +1,97 @@
+from collections import Counter
+
+import numpy as np
+
+from ferryline.llm import language, suite
+from ferryline.llm.common import table
+
+
+def grams_of(text):
+    """N-grams by hand."""
+    words = "".join(c.lower()[0] if c.isalpha() else " " for c in text).split()
+    found = Counter()
+    for word in words:
+        found.update(word)
+    line = " " + " ".join(words) + " "
+    for n in (2, 3):
+        for i in range(len(line) - n + 1):
+            gram = line[i : i + n]
+            if n == 2 or gram[1] != " ":
+                found[gram] += 1
+    return found if words else Counter()
+
+
+def code(gram):
+    value = 0
+    for c in gram:
+        value = value << 21 | ord(c)
+    return value
+
+
+def test_counts_equal_brute_force():
+    wide = "".join(chr(0x4E00 + i) for i in range(200))
+    for text in ("", "12 !", "Été à l'été", "a", "x yy  zzz\n", wide, "word " * 500):
+        grams, counts = language.count_grams(language.letters(text))
+        assert dict(zip(grams.tolist(), counts.tolist())) == {code(g): n for g, n in grams_of(text).items()}
+
+
+def test_profiles_equal_brute_force(documents):
+    rows = documents.where("doc_id < 60").select("lang", "text")
+    profiles = language.learn(rows, size=50)
+    sums = {}
+    for r in rows.collect():
+        sums.setdefault(r.lang, Counter()).update(grams_of(r.text))
+    for i, lang in enumerate(profiles.languages):
+        ranked = sorted(sums[lang], key=lambda g: (-sums[lang][g], code(g)))[:50]
+        known = profiles.ranks[i] >= 0
+        got = profiles.grams[known][np.argsort(profiles.ranks[i][known])]
+        assert got.tolist() == [code(g) for g in ranked]
+
+
+def test_distance_equals_brute_force(documents):
+    profiles = language.learn(documents, size=60)
+    places = [
+        {int(g): int(r) for g, r in zip(profiles.grams, row) if r >= 0} for row in profiles.ranks
+    ]
+    for r in documents.limit(20).collect():
+        counts = grams_of(r.text)
+        top = sorted(map(code, counts), key=lambda g: (-counts[uncode(g)], g))[:60]
+        sums = [
+            sum(min(abs(p[g] - i), 60) if g in p else 60 for i, g in enumerate(top)) for p in places
+        ]
+        best = min(range(len(sums)), key=lambda i: (sums[i], i))
+        got = language.nearest(r.text, profiles)
+        assert got == (profiles.languages[best], 1 - sums[best] / (60 * len(top)))
+
+
+def uncode(value):
+    out = ""
+    while value:
+        out = chr(value & 0x1FFFFF) + out
+        value >>= 21
+    return out
+
+
+def test_held_out_accuracy(spark):
+    found = suite.op5_language_id(spark, "/root/testdata/sf0.01")
+    langs = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "lang")
+    rows = found.where("held_out").join(langs, "doc_id").collect()
+    assert len(rows) > 100
+    assert np.mean([r.lang == r.lang_pred for r in rows]) >= 0.98
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_odd_rows(odd, nothing, documents):
+    profiles = language.learn(documents)
+    rows = language.identify(odd, profiles)
+    assert rows.columns == [*odd.columns, "lang_pred", "score"]
+    rows = rows.collect()
+    assert len(rows) == odd.count()
+    for r in rows:
+        has_letters = any(c.isalpha() for c in r.text or "")
+        assert (r.lang_pred == "und") == (not has_letters)
+        assert has_letters or r.score == 0
+    assert language.identify(nothing, profiles).count() == 0
+    # Without labelled rows no language is known.
+    unknown = language.identify(odd, language.learn(nothing)).collect()
+    assert {(r.lang_pred, r.score) for r in unknown} == {("und", 0.0)}

@@ -1,0 +1,87 @@
+import re
+
+import pytest
+
+from ferryline.llm import pii
+
+KEY = b"test key"
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 10, 97, 1000])
+def test_permutation_is_one_to_one(size):
+    assert sorted(pii.permute(i, size, KEY, "x") for i in range(size)) == list(range(size))
+
+
+def test_keys_and_kinds_differ():
+    one = [pii.permute(i, 10**6, KEY, "x") for i in range(50)]
+    assert one != [pii.permute(i, 10**6, b"other", "x") for i in range(50)]
+    assert one != [pii.permute(i, 10**6, KEY, "y") for i in range(50)]
+
+
+VALUES = {
+    "email": ["bosbt.42@mail8.example.com", "A_b+c@x-y.org"],
+    "phone": ["+1 (988) 555-2485", "(988) 555-2485", "988-555-2485", "+44 20 7946 0958"],
+    "card": ["4041894974608795", "4041 8949 7460 8795", "378282246310005"],
+    "address": ["42.144.35.254", "8.8.8.8"],
+    "date": ["2001-12-31", "31.12.2001", "12/31/2001", "29/02/2000"],
+    "social": ["123-45-6789"],
+    "iban": ["GB82 WEST 1234 5698 7654 32", "DE89370400440532013000"],
+}
+INVALID = [
+    "4041894974608796", "0000000000000000", "256.1.1.1", "01.2.3.4", "2001-13-31", "30/02/2000",
+    "666-45-6789", "000-12-3456", "GB82 WEST 1234 5698 7654 33", "a@b", "@x.org", "3.0.1",
+    "1700-01-01", "12345", "x4041894974608795", "40418949746087951234567",
+]
+
+
+@pytest.mark.parametrize("kind,value", [(k, v) for k, vs in VALUES.items() for v in vs])
+def test_pseudonyms_are_valid_in_the_same_format(kind, value):
+    worker = pii.Pseudonymiser(KEY)
+    text, found = worker.replaced(f"see {value}, or")
+    assert [f["kind"] for f in found] == [kind]
+    new = found[0]["pseudonym"]
+    assert text == f"see {new}, or" and new != value
+    assert found[0]["start"] == 4 and found[0]["stop"] == 4 + len(value)
+    # It is a value of the kind itself, of the same shape.
+    assert [f["kind"] for f in worker.replaced(new)[1]] == [kind]
+    assert re.sub(r"\d+", "0", new) == re.sub(r"\d+", "0", value) or kind in ("email", "iban")
+    assert len(new) == len(value)
+
+
+@pytest.mark.parametrize("value", INVALID)
+def test_what_fails_its_check_stays(value):
+    assert pii.Pseudonymiser(KEY).replaced(f"see {value} or") == (f"see {value} or", [])
+
+
+def test_equal_values_stay_linked_however_written():
+    worker = pii.Pseudonymiser(KEY)
+
+    def digits(text):
+        return re.sub(r"\D", "", worker.replaced(text)[1][0]["pseudonym"])
+
+    assert digits("4041894974608795") == digits("4041 8949 7460 8795")
+    assert digits("(988) 555-2485") == digits("988-555-2485") == digits("+1 (988) 555-2485")[1:]
+    day = worker.replaced("2001-12-31")[1][0]["pseudonym"].split("-")
+    assert worker.replaced("31.12.2001")[1][0]["pseudonym"].split(".") == day[::-1]
+
+
+def test_every_position_is_found():
+    joined = " ".join(v for vs in VALUES.values() for v in vs)
+    assert len(pii.Pseudonymiser(KEY).replaced(joined)[1]) == sum(map(len, VALUES.values()))
+
+
+def test_tables(spark, odd, nothing, documents):
+    rows = pii.pseudonymise(odd, KEY).collect()
+    assert sorted((r.doc_id or -1, r.text) for r in rows) == sorted(
+        (r.doc_id or -1, r.text or "") for r in odd.collect()
+    )
+    assert pii.pseudonymise(nothing, KEY).count() == 0
+    before = {r.doc_id: r.text for r in documents.collect()}
+    n = 0
+    for r in pii.pseudonymise(documents, KEY).collect():
+        for f in r.found:
+            n += 1
+            assert before[r.doc_id][f.start : f.stop] not in r.text
+    assert n > 0
+    with pytest.raises(ValueError):
+        pii.pseudonymise(odd, KEY, ("shoe size",))
