@@ -11,30 +11,35 @@ from pyspark.sql.types import TimestampNTZType, TimestampType
 log = logging.getLogger(__name__)
 
 
-def time_range(df: DataFrame, column: str, start_ms: int, end_ms: int) -> DataFrame:
+def time_range(
+    df: DataFrame, column: str, start_ms: int, end_ms: int, zone: str = "UTC"
+) -> DataFrame:
     """Rows whose time lies between two epoch milliseconds, both included.
 
-    The column holds epoch milliseconds or a timestamp (zone-less ones are read as UTC).
+    The column holds epoch milliseconds or a timestamp; ``zone`` is that of zone-less ones.
     For a timestamp the bounds are converted, never the column, so that the scan can skip
     files and row groups; the last millisecond counts in full.
     """
     kind = df.schema[column].dataType
     time = F.col(column)
     if isinstance(kind, (TimestampType, TimestampNTZType)):
-        first = F.timestamp_millis(F.lit(start_ms)).cast(kind)
-        after = F.timestamp_millis(F.lit(end_ms + 1)).cast(kind)
+        first, after = (F.timestamp_millis(F.lit(ms)) for ms in (start_ms, end_ms + 1))
+        if isinstance(kind, TimestampNTZType):
+            first, after = (
+                F.convert_timezone(F.lit("UTC"), F.lit(zone), b.cast(kind)) for b in (first, after)
+            )
         return df.where((time >= first) & (time < after))
     return df.where(time.between(F.lit(start_ms), F.lit(end_ms)))
 
 
 def optional_time_range(
-    df: DataFrame, column: str | None, start_ms: int, end_ms: int
+    df: DataFrame, column: str | None, start_ms: int, end_ms: int, zone: str = "UTC"
 ) -> DataFrame:
     """``time_range`` when the table has a time column, else every row."""
     if column is None:
         log.warning("table has no time column, all rows are taken")
         return df
-    return time_range(df, column, start_ms, end_ms)
+    return time_range(df, column, start_ms, end_ms, zone)
 
 
 def resolve_column(

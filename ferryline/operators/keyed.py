@@ -20,15 +20,18 @@ def first_row(df: DataFrame, *order: Column) -> DataFrame:
     return df.orderBy(*order).limit(1)
 
 
-def latest_per_key(df: DataFrame, keys: list[str], sequence: list[str]) -> DataFrame:
+def latest_per_key(
+    df: DataFrame, keys: list[str], sequence: list[str], tie_break: bool = True
+) -> DataFrame:
     """Last write wins: one row per key, the one highest in ``sequence``.
 
     Rows that tie on the whole sequence are told apart by their other columns, so the
-    result never depends on task order. Spark turns rank = 1 into a limit inside each
+    result never depends on task order. Where the sequence is unique, as a place in a topic
+    is, ``tie_break=False`` spares that, and allows columns that cannot be ordered. Spark turns rank = 1 into a limit inside each
     task before the shuffle, so a key with very many changes costs one row per task.
     """
     rest = [c for c in df.columns if c not in keys and c not in sequence]
-    order = [F.col(c).desc_nulls_last() for c in [*sequence, *rest]]
+    order = [F.col(c).desc_nulls_last() for c in [*sequence, *(rest if tie_break else [])]]
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 

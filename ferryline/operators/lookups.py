@@ -22,10 +22,17 @@ def new_keys_only(remote: DataFrame, loaded: DataFrame, keys: list[str]) -> Data
 
 
 def parent_children(
-    parents: DataFrame, payloads: DataFrame, keys: list[str], records: str | None = None
+    parents: DataFrame,
+    payloads: DataFrame,
+    keys: list[str],
+    records: str | None = None,
+    missing: str = "fail",
 ) -> DataFrame:
-    """Children of every parent. ``records`` names a list column to unpack into rows."""
-    joined = parents.join(payloads, keys)
+    """Children of every parent. ``records`` names a list column to unpack into rows.
+
+    A parent without a payload fails the read, or is left out with ``missing="skip"``.
+    """
+    joined = _found(parents, payloads, keys, missing)
     if records is None:
         return joined
     carry = {c: c for c in joined.columns if c != records}
@@ -39,14 +46,28 @@ def lookup_chain(df: DataFrame, *steps: tuple[DataFrame, list[str]]) -> DataFram
     return df
 
 
-def first_child(parents: DataFrame, children: DataFrame, keys: list[str], records: str) -> DataFrame:
+def _found(parents: DataFrame, others: DataFrame, keys: list[str], missing: str) -> DataFrame:
+    if missing == "skip":
+        return parents.join(others, keys)
+    if missing != "fail":
+        raise ValueError("missing must be 'fail' or 'skip'")
+    joined = parents.join(others.withColumn("_found", F.lit(True)), keys, "left")
+    told = F.concat(F.lit("nothing landed for "), F.to_json(F.struct(*keys)))
+    # A filter, so that it is checked whichever columns are used later.
+    return joined.where(F.coalesce("_found", F.raise_error(told).cast("boolean"))).drop("_found")
+
+
+def first_child(
+    parents: DataFrame, children: DataFrame, keys: list[str], records: str, missing: str = "fail"
+) -> DataFrame:
     """Parents with the first element of their child list.
 
-    A parent whose list is empty is an error, as there is no first element.
+    A parent whose list is empty is an error, as there is no first element. So is one
+    without a list, unless ``missing="skip"`` leaves it out.
     """
     first = F.coalesce(
         F.get(records, F.lit(0)), F.raise_error("a parent has an empty child list")
     )
-    return parents.join(children, keys).withColumn("_first", first).drop(records).select(
+    return _found(parents, children, keys, missing).withColumn("_first", first).drop(records).select(
         *parents.columns, "_first.*"
     )

@@ -133,7 +133,9 @@ def copy_asset_tables(
     """Copy each asset's table, cut to the sortie's time where the table has a time column."""
 
     def cut(column: str | None) -> Callable[[DataFrame], DataFrame]:
-        return lambda df: optional_time_range(df, column, sortie["start_ms"], sortie["end_ms"])
+        return lambda df: optional_time_range(
+            df, column, sortie["start_ms"], sortie["end_ms"], ZONE
+        )
 
     select = {name: cut(columns.get(name)) for name in tables}
     return copy_tables(spark, tables, f"{base}/real_world_flight", select, buckets)

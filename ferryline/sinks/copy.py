@@ -22,8 +22,8 @@ def copy_table(
 ) -> DataFrame:
     """Copy the selected rows of a table into one with the same columns; gives the copy.
 
-    The target is created if absent. With a key, rows of a repeated copy overwrite those
-    with the same key; without one they are appended.
+    The target is created if absent. With a key, which the source declares to be unique,
+    rows of a repeated copy overwrite those with the same key; without one they are appended.
     """
     df = source.read(spark)
     rows = select(df) if select else df

@@ -8,7 +8,9 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from ferryline.sinks.append import append_once
+from ferryline.sinks.append import append_once, replace_batches
+
+LOAD_ID = "load_id"
 
 
 @dataclass(frozen=True)
@@ -20,10 +22,13 @@ class Child:
 
 
 def fan_out(
-    roots: DataFrame, children: list[Child], root: Child, base: str, load_id: object
+    roots: DataFrame, children: list[Child], root: Child, base: str, load_id: object = None
 ) -> None:
     """Write every child table, then the root table.
 
+    Without one ``load_id`` for all, the frame and the rows of every table have a column of
+    that name, such as a name for each source file, and each of its loads is replaced.
+
     The writes are separate jobs, so the root comes last and marks a whole document:
     a reader that takes only ids found in the root never sees half of one. Each write
     replaces its own load, so a repeated load does not duplicate rows. The frame is
@@ -31,8 +36,15 @@ def fan_out(
     """
     roots = roots.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        loads = []
+        if load_id is None:  # as many as there are files
+            loads = [row[0] for row in roots.select(LOAD_ID).distinct().collect()]
         for part in [*children, root]:
-            append_once(part.rows(roots), f"{base}/{part.table}", load_id)
+            rows, path = part.rows(roots), f"{base}/{part.table}"
+            if load_id is None:
+                replace_batches(rows, path, LOAD_ID, loads)
+            else:
+                append_once(rows, path, load_id)
     finally:
         roots.unpersist()
 

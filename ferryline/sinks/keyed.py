@@ -8,12 +8,13 @@ beside the old ones, and then one small file says which ones make up the table.
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ferryline.operators.keyed import latest_per_key
 from ferryline.sinks.append import empty_frame
@@ -31,7 +32,7 @@ class Version:
 
     number: int
     buckets: int
-    writes: dict[int, int] = field(default_factory=dict)
+    writes: dict[int, str] = field(default_factory=dict)
 
     def paths(self, data: str) -> set[str]:
         return {f"{data}/write={w}/{_BUCKET}={b}" for b, w in self.writes.items()}
@@ -45,6 +46,9 @@ class KeyedTable:
     and ends by adding a file. A lost driver leaves the table as it was. The directories
     a write replaces stay until the write after it, for readers that still use them.
 
+    Of two writers that overlap all the same, such as a stream and its restart, one fails:
+    each writes to a directory of its own, and the file of a version is created only once.
+
     ``buckets`` is for a new table; an existing one knows its own. It should put 128 MB
     to 1 GB into one directory at the expected size.
     """
@@ -57,9 +61,12 @@ class KeyedTable:
     def read(self, spark: SparkSession) -> DataFrame:
         return self._stored(spark, self._version(spark)).select(*self.schema.names)
 
-    def upsert(self, changes: DataFrame, sequence: list[str]) -> None:
-        """Insert new keys, overwrite known ones; the last change of a key wins."""
-        self._write(latest_per_key(changes, list(self.keys), sequence))
+    def upsert(self, changes: DataFrame, sequence: list[str], tie_break: bool = True) -> None:
+        """Insert new keys, overwrite known ones; the last change of a key wins.
+
+        Without a sequence the keys of ``changes`` are unique already, and nothing is reduced.
+        """
+        self._write(self._latest(changes, sequence, tie_break))
 
     def delete_insert(self, rows: DataFrame) -> None:
         """Delete every stored row whose key occurs in ``rows``, then insert ``rows``.
@@ -68,9 +75,14 @@ class KeyedTable:
         """
         self._write(rows, unique=False)
 
-    def apply_changes(self, changes: DataFrame, sequence: list[str]) -> None:
+    def apply_changes(
+        self, changes: DataFrame, sequence: list[str], tie_break: bool = True
+    ) -> None:
         """Replay decoded changes, including deletes."""
-        self._write(latest_per_key(changes, list(self.keys), sequence), deletes=True)
+        self._write(self._latest(changes, sequence, tie_break), deletes=True)
+
+    def _latest(self, changes: DataFrame, sequence: list[str], tie_break: bool) -> DataFrame:
+        return latest_per_key(changes, list(self.keys), sequence, tie_break) if sequence else changes
 
     # Writing
 
@@ -130,23 +142,27 @@ class KeyedTable:
 
     def _replace(self, version: Version, merged: DataFrame, touched: list[int]) -> None:
         """Write new directories, then make them part of the table in place of the touched ones."""
-        number = version.number + 1
-        target = f"{self._data}/write={number}"
-        merged.write.mode("overwrite").partitionBy(_BUCKET).parquet(target)
+        name = f"{version.number + 1}-{uuid.uuid4().hex[:12]}"
+        target = f"{self._data}/write={name}"
+        merged.write.mode("error").partitionBy(_BUCKET).parquet(target)
         files = Files(merged.sparkSession, self.path)
+        number = max(self._numbers(files), default=0) + 1
         kept = {b: w for b, w in version.writes.items() if b not in touched}
         written = [int(n.split("=")[1]) for n in files.directory_names(target) if "=" in n]
-        new = Version(number, version.buckets, kept | {b: number for b in written})
+        new = Version(number, version.buckets, kept | {b: name for b in written})
         body = {"buckets": new.buckets, "writes": new.writes}
-        files.write_text(f"{self._versions}/{number}.json", json.dumps(body))
+        overtaken = self._version(merged.sparkSession).number != version.number
+        path = f"{self._versions}/{number}.json"
+        if overtaken or not files.create_text(path, json.dumps(body)):
+            files.delete(target)
+            raise RuntimeError(f"another writer has changed {self.path}; repeat the write")
         self._clean(files, version, new)
 
     def _clean(self, files: Files, before: Version, new: Version) -> None:
         """Delete what only versions older than the one before this write refer to."""
-        names = [int(n.split(".")[0]) for n in files.file_names(self._versions) if n.endswith(".json")]
-        for number in names:
+        for number in self._numbers(files):
             if number < before.number:
-                old = self._load(files, number)
+                old = self._load(files, number) or Version(number, before.buckets)
                 unused = old.paths(self._data) - before.paths(self._data) - new.paths(self._data)
                 for path in unused:
                     files.delete(path)
@@ -174,17 +190,26 @@ class KeyedTable:
 
     def _version(self, spark: SparkSession) -> Version:
         files = Files(spark, self.path)
-        names = [n for n in files.file_names(self._versions) if n.endswith(".json")]
-        if not names:
-            return Version(0, self.buckets)
-        return self._load(files, max(int(n.split(".")[0]) for n in names))
+        for number in sorted(self._numbers(files), reverse=True):
+            if (found := self._load(files, number)) is not None:
+                return found
+        return Version(0, self.buckets)
+
+    def _numbers(self, files: Files) -> list[int]:
+        names = files.file_names(self._versions)
+        return [int(n.split(".")[0]) for n in names if n.endswith(".json")]
 
-    def _load(self, files: Files, number: int) -> Version:
-        body = json.loads(files.read_text(f"{self._versions}/{number}.json"))
-        return Version(number, body["buckets"], {int(b): w for b, w in body["writes"].items()})
+    def _load(self, files: Files, number: int) -> Version | None:
+        """A version, or none if its writer was lost before the file was complete."""
+        try:
+            body = json.loads(files.read_text(f"{self._versions}/{number}.json"))
+        except ValueError:
+            return None
+        writes = {int(b): str(w) for b, w in body["writes"].items()}
+        return Version(number, body["buckets"], writes)
 
     def _stored(self, spark: SparkSession, version: Version) -> DataFrame:
-        layout = [StructField("write", LongType()), StructField(_BUCKET, IntegerType())]
+        layout = [StructField("write", StringType()), StructField(_BUCKET, IntegerType())]
         schema = StructType([*self.schema, *layout])
         if not version.writes:
             return empty_frame(spark, schema).drop("write")

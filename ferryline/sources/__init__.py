@@ -9,6 +9,7 @@ from ferryline.sources.messages import (
     decode_xml,
     kafka_options,
     read_messages,
+    rejected,
 )
 from ferryline.sources.tables import (
     TableRef,
@@ -34,4 +35,5 @@ __all__ = [
     "normalize_types",
     "point_lookup",
     "read_messages",
+    "rejected",
 ]

@@ -24,11 +24,15 @@ def decode_changes(df: DataFrame, row: StructType, value: str, sequence: list[st
     """Change messages to rows plus a delete mark.
 
     A delete carries the key in ``before``, everything else the new row in ``after``.
-    ``sequence`` names the columns that order the changes of one key.
+    ``sequence`` names the columns that order the changes of one key. A null value, which
+    a topic may hold after a delete, is no change; blank text fails.
     """
+    df = df.where(F.col(value).isNotNull())
     change = F.from_json(F.col(value), change_schema(row), {"mode": "FAILFAST", **JSON_OPTIONS})
     known = F.when(F.col("_c.op").isin(*OPERATIONS), F.col("_c.op")).otherwise(
-        F.raise_error(F.concat(F.lit("unknown change operation: "), F.col("_c.op")))
+        F.raise_error(
+            F.concat(F.lit("unknown change operation: "), F.coalesce("_c.op", F.lit("none")))
+        )
     )
     return (
         df.select(*sequence, change.alias("_c"))

@@ -20,11 +20,20 @@ _STRICT = {"mode": "FAILFAST", **JSON_OPTIONS}
 START_LOOK_BACK_MS = 10_000
 
 
+# Bound of one micro-batch, so that a first start on a deep topic is many batches.
+OFFSETS_PER_BATCH = 1_000_000
+
+# What becomes of a message that cannot be used: the read fails, or it is left out, and
+# ``rejected`` gives it with the reason.
+FAIL, SKIP = "fail", "skip"
+
+
 def kafka_options(
     servers: str,
     topics: list[str],
     now_ms: int | None = None,
     look_back_ms: int = START_LOOK_BACK_MS,
+    offsets_per_batch: int = OFFSETS_PER_BATCH,
     **extra: str,
 ) -> dict[str, str]:
     """Reader options that start at now minus a look-back.
@@ -37,6 +46,7 @@ def kafka_options(
         "subscribe": ",".join(topics),
         "startingTimestamp": str(now_ms - look_back_ms),
         "startingOffsetsByTimestampStrategy": "latest",
+        "maxOffsetsPerTrigger": str(offsets_per_batch),
         **extra,
     }
 
@@ -54,21 +64,104 @@ def _json(text: str | Column, schema: DataType) -> Column:
     return F.from_json(column, schema, _STRICT)
 
 
-def decode_objects(
-    df: DataFrame, schema: StructType, value: str = "value", keep: list[str] | None = None
+def _reason(
+    value: Column, opening: str, names: list[str] | None = None, field: str | None = None
+) -> Column:
+    """Why a text is no message of its kind, or null; broken JSON is not looked for."""
+    text = F.trim(value)
+    reason = F.when(F.coalesce(text == "", F.lit(True)), F.lit("null or blank")).when(
+        ~text.startswith(opening), F.lit(f"does not begin with {opening}")
+    )
+    if field is not None:
+        absent = ~F.array_contains(F.json_object_keys(value), field)
+        reason = reason.when(absent, F.lit(f"no field {field}"))
+    if names is not None:
+        keys = F.json_object_keys(value)
+        if opening == "[":
+            each = F.from_json(value, "array<map<string,string>>", JSON_OPTIONS)
+            keys = F.flatten(F.transform(F.filter(each, F.isnotnull), F.map_keys))
+        unknown = F.array_except(keys, F.array(*map(F.lit, names)))
+        reason = reason.when(
+            F.size(unknown) > 0, F.concat(F.lit("unknown fields: "), F.array_join(unknown, ", "))
+        )
+    return reason
+
+
+def _parsed(
+    df: DataFrame, value: str, schema: DataType, reason: Column, bad: str, keep: list[str]
 ) -> DataFrame:
-    """One message, one record. ``keep`` carries columns such as a message offset along."""
-    return df.select(*(keep or []), _json(value, schema).alias("_r")).select(
-        *(keep or []), "_r.*"
+    """The decoded messages as ``_r``, by policy."""
+    if bad == FAIL:
+        told = F.raise_error(F.concat(F.lit("bad message: "), reason))
+        text = F.when(reason.isNotNull(), told).otherwise(F.col(value))
+        return df.select(*keep, _json(text, schema).alias("_r"))
+    if bad != SKIP:
+        raise ValueError(f"bad must be {FAIL!r} or {SKIP!r}")
+    return (
+        df.where(reason.isNull() & ~_broken(F.col(value), schema))
+        .select(*keep, F.from_json(value, schema, JSON_OPTIONS).alias("_r"))
+    )
+
+
+def _broken(value: Column, schema: DataType) -> Column:
+    """Whether a text is not JSON of a schema."""
+    record = schema.elementType if isinstance(schema, ArrayType) else schema
+    marked = StructType([*record, StructField("_broken", StringType())])
+    options = {"columnNameOfCorruptRecord": "_broken", **JSON_OPTIONS}
+    if not isinstance(schema, ArrayType):
+        return F.from_json(value, marked, options).getField("_broken").isNotNull()
+    parsed = F.from_json(value, ArrayType(marked), options)
+    return parsed.isNull() | F.exists(
+        parsed, lambda r: F.coalesce(r.getField("_broken").isNotNull(), F.lit(False))
+    )
+
+
+def rejected(df: DataFrame, schema: DataType, value: str = "value", strict: bool = True) -> DataFrame:
+    """The messages that ``bad="skip"`` leaves out of objects or arrays, with their reason."""
+    array = isinstance(schema, ArrayType)
+    names = (schema.elementType if array else schema).names if strict else None
+    why = F.coalesce(
+        _reason(F.col(value), "[" if array else "{", names),
+        F.when(_broken(F.col(value), schema), F.lit("broken")),
     )
+    return df.withColumn("reason", why).where(F.col("reason").isNotNull())
+
+
+def decode_objects(
+    df: DataFrame,
+    schema: StructType,
+    value: str = "value",
+    keep: list[str] | None = None,
+    bad: str = FAIL,
+    strict: bool = True,
+) -> DataFrame:
+    """One message, one record. ``keep`` carries columns such as a message offset along.
+
+    A null or blank message, one that is no object, and, if ``strict``, one with fields
+    that are not declared, is bad.
+    """
+    reason = _reason(F.col(value), "{", schema.names if strict else None)
+    rows = _parsed(df, value, schema, reason, bad, keep or [])
+    return rows.select(*(keep or []), "_r.*")
 
 
 def decode_arrays(
-    df: DataFrame, schema: StructType, value: str = "value", keep: list[str] | None = None
+    df: DataFrame,
+    schema: StructType,
+    value: str = "value",
+    keep: list[str] | None = None,
+    bad: str = FAIL,
+    strict: bool = True,
 ) -> DataFrame:
-    """One message is a list of records; null elements are dropped."""
+    """One message is a list of records; null elements are dropped. Bad as in objects."""
+    reason = _reason(F.col(value), "[", schema.names if strict else None)
+    rows = _parsed(df, value, ArrayType(schema), reason, bad, keep or [])
+    return _each(rows, F.col("_r"), keep)
+
+
+def _each(df: DataFrame, records: Column, keep: list[str] | None) -> DataFrame:
     return (
-        df.select(*(keep or []), F.explode(_json(value, ArrayType(schema))).alias("_r"))
+        df.select(*(keep or []), F.explode(records).alias("_r"))
         .where(F.col("_r").isNotNull())
         .select(*(keep or []), "_r.*")
     )
@@ -80,15 +173,15 @@ def decode_envelopes(
     field: str = "data",
     value: str = "value",
     keep: list[str] | None = None,
+    bad: str = FAIL,
 ) -> DataFrame:
-    """The records sit in a list under one field (``data`` or ``result``) of a JSON object."""
+    """The records sit in a list under one field (``data`` or ``result``) of a JSON object.
+
+    A body without the field, such as an error body, is bad; a null list has no records.
+    """
     envelope = StructType([StructField(field, ArrayType(schema))])
-    records = _json(value, envelope).getField(field)
-    return (
-        df.select(*(keep or []), F.explode(records).alias("_r"))
-        .where(F.col("_r").isNotNull())
-        .select(*(keep or []), "_r.*")
-    )
+    rows = _parsed(df, value, envelope, _reason(F.col(value), "{", field=field), bad, keep or [])
+    return _each(rows, F.col("_r").getField(field), keep)
 
 
 def decode_xml(

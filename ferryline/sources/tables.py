@@ -75,10 +75,13 @@ def normalize_types(df: DataFrame) -> DataFrame:
 
 
 def point_lookup(df: DataFrame, key: str, value: object) -> Row:
-    """The one row of a key, for the driver. The predicate is pushed to the scan."""
-    rows = df.where(F.col(key) == F.lit(value)).limit(1).collect()
-    if not rows:
-        raise LookupError(f"no row with {key} = {value!r}")
+    """The one row of a key, for the driver. The predicate is pushed to the scan.
+
+    No row and several rows are errors.
+    """
+    rows = df.where(F.col(key) == F.lit(value)).limit(2).collect()
+    if len(rows) != 1:
+        raise LookupError(f"{'several rows' if rows else 'no row'} with {key} = {value!r}")
     return rows[0]
 
 

@@ -117,7 +117,12 @@ def test_control_rows(spark, rows):
 def test_first_child(spark, rows):
     parents = spark.createDataFrame([(1,), (2,)], "id INT")
     children = spark.createDataFrame([(1, [("a",), ("b",)])], "id INT, kids ARRAY<STRUCT<n: STRING>>")
-    assert rows(op.first_child(parents, children, ["id"], "kids")) == [(1, "a")]
+    found = op.first_child(parents, children, ["id"], "kids", missing="skip")
+    assert rows(found) == [(1, "a")]
+    with pytest.raises(Exception, match="nothing landed"):
+        op.first_child(parents, children, ["id"], "kids").collect()
+    with pytest.raises(Exception, match="nothing landed"):
+        op.parent_children(parents, children, ["id"]).select("id").collect()
     empty = spark.createDataFrame([(1, [])], "id INT, kids ARRAY<STRUCT<n: STRING>>")
     with pytest.raises(Exception, match="empty child list"):
         op.first_child(parents, empty, ["id"], "kids").collect()
@@ -156,3 +161,21 @@ def test_frames_of_changes(spark, rows):
     assert rows(op.apply_changes(target, marked, ["k"], ["n"])) == [(3, "o"), (4, "u")]
     several = spark.createDataFrame([(1, "p"), (1, "q")], "k INT, v STRING")
     assert rows(op.delete_insert(target, several, ["k"])) == [(1, "p"), (1, "q"), (3, "o"), (4, "o")]
+
+
+def test_time_range_of_local_times(spark, rows):
+    """Zone-less times are those of the zone given; the bounds are converted, not the column."""
+    df = spark.sql(
+        "SELECT * FROM VALUES (1, TIMESTAMP_NTZ'2024-01-10 07:59:59.999'), "
+        "(2, TIMESTAMP_NTZ'2024-01-10 08:00:00'), (3, TIMESTAMP_NTZ'2024-01-10 09:00:00') AS t(i, at)"
+    )
+    start = 1704844800000  # 2024-01-10 00:00 UTC, 08:00 in Shanghai
+    found = op.time_range(df, "at", start, start + 3_600_000 - 1, "Asia/Shanghai")
+    assert rows(found, "i") == [(2,)]
+    assert rows(op.time_range(df, "at", start, start + 8 * 3_600_000), "i") == [(1,), (2,)]
+
+
+def test_latest_without_tie_break_bears_maps(spark, rows):
+    df = spark.sql("SELECT 1 AS k, s, map('s', s) AS m FROM VALUES (1), (2) AS t(s)")
+    (row,) = op.latest_per_key(df, ["k"], ["s"], tie_break=False).collect()
+    assert row.m == {"s": 2}
