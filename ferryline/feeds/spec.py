@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql.types import (
     ByteType,
@@ -35,6 +36,9 @@ TYPES: dict[str, DataType] = {
     "timestamp": TimestampNTZType(),
 }
 
+# What the control key of an end row begins with; a feed may name another.
+END_PREFIX = "END_"
+
 LINEAGE = {"import_id": "bigint", "batch_number": "string"}
 
 
@@ -66,6 +70,7 @@ class FeedSpec:
     keys: tuple[str, ...] = ()
     lineage: tuple[str, ...] = ("import_id",)
     control_key: str | None = None
+    end_prefix: str = END_PREFIX
     options: dict[str, object] = field(default_factory=dict)
 
     @property
@@ -87,5 +92,14 @@ class FeedSpec:
         columns = [StructField(f.target, TYPES[f.target_type]) for f in self.stored]
         return StructType(columns + [StructField(c, TYPES[LINEAGE[c]]) for c in self.lineage])
 
+    def on_wire(self, name: Callable[[str], str] | Mapping[str, str]) -> FeedSpec:
+        """The same feed with other field names on the wire, given by column name.
+
+        A mapping may name some fields only; a function such as ``camel_case`` names all.
+        """
+        rename = name if callable(name) else lambda column: name.get(column, column)
+        fields = tuple(replace(f, source=rename(f.source)) for f in self.fields)
+        return replace(self, fields=fields)
+
     def location(self, base: str) -> str:
         return f"{base}/{self.database}/{self.table}"

@@ -1,6 +1,6 @@
 """Scalar functions, Column in and Column out. All null in, null out."""
 
-from ferryline.functions.text import chinese_numeral, has_prefix, snake_case
+from ferryline.functions.text import camel_case, chinese_numeral, has_prefix, snake_case
 from ferryline.functions.times import (
     as_date,
     as_timestamp,
@@ -17,6 +17,7 @@ from ferryline.functions.times import (
 __all__ = [
     "as_date",
     "as_timestamp",
+    "camel_case",
     "chinese_numeral",
     "date_time_to_epoch_seconds",
     "epoch_ms",

@@ -14,6 +14,12 @@ NUMERALS = (
 ).split()
 
 
+def camel_case(name: str) -> str:
+    """``flight_date`` to ``flightDate``."""
+    first, *rest = name.split("_")
+    return first + "".join(word[:1].upper() + word[1:] for word in rest)
+
+
 def snake_case(name: str) -> str:
     """Column name on file (``messageTime``) to column name in tables (``message_time``)."""
     return re.sub(r"(?<!^)([A-Z])", r"_\1", name).lower()

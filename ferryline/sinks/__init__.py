@@ -10,10 +10,10 @@ from ferryline.sinks.append import (
 )
 from ferryline.sinks.copy import copy_table, copy_tables
 from ferryline.sinks.fanout import Child, fan_out, route
-from ferryline.sinks.jdbc import jdbc_append, jdbc_upsert_statement
+from ferryline.sinks.jdbc import jdbc_append, jdbc_types, jdbc_upsert_statement
 from ferryline.sinks.keyed import KeyedTable
 from ferryline.sinks.merge import MergeTable
-from ferryline.sinks.publish import encode_messages, export_json, publish
+from ferryline.sinks.publish import encode_messages, end_message, export_json, publish
 
 __all__ = [
     "Child",
@@ -25,9 +25,11 @@ __all__ = [
     "copy_tables",
     "create_if_absent",
     "encode_messages",
+    "end_message",
     "export_json",
     "fan_out",
     "jdbc_append",
+    "jdbc_types",
     "jdbc_upsert_statement",
     "publish",
     "read_table",

@@ -11,6 +11,7 @@ from ferryline.plans import assets, load, sorties
 from ferryline.plans.run import keyed_table
 from ferryline.session import new_dir
 from ferryline.sinks import read_table
+from ferryline.sinks.paths import Files
 from ferryline.sources import TableRef
 from ferryline.suite.derived import comparable, records, sql_columns
 from ferryline.suite.tables import blocks, spread, table, write_texts
@@ -107,12 +108,15 @@ def plan_feed_query(code, variant, database):
             F.col("id").alias("block"), F.to_json(F.struct("*")).alias("value")
         )
         lists = (
-            texts.groupBy(F.expr("CAST(block AS BIGINT) DIV 1000").alias("block"))
+            texts.groupBy(F.expr("concat(CAST(block AS BIGINT) DIV 1000, '-', CAST(block AS BIGINT) % 2)").alias("block"))
             .agg(F.collect_list("value").alias("all"))
             .select("block", F.concat(F.lit("["), F.array_join("all", ","), F.lit("]")).alias("value"))
         )
-        path = write_texts(lists, f"{base}/in")
-        for _ in range(2):
+        # Two sets of files under one import; the first is loaded once more.
+        for part in (0, 1, 0):
+            path = f"{base}/in{part}"
+            if not Files(spark, path).exists(path):
+                write_texts(lists.where(F.col("block").endswith(f"-{part}")), path)
             load(spark, feed(code), path, base, IMPORT_ID, variant=variant)
         return plan_rows(spark, f"{base}/{database}")
 

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import functions as F
 
 from ferryline.feeds import feed
 from ferryline.plans import load_stream
 from ferryline.plans.run import keyed_table
 from ferryline.session import new_dir
-from ferryline.sinks import append_once, encode_messages, read_table
+from ferryline.sinks import append_once, encode_messages, end_message, read_table
 from ferryline.streaming import EndSignal, file_stream, land, run_until_end, with_event_time
 from ferryline.suite.derived import records, sql_columns
 from ferryline.suite.feeds import IMPORT_ID, PLAN_SQL, plan_documents, plan_rows
 from ferryline.suite.tables import blocks, spread, table
 
-MESSAGES = "value STRING, partition INT, offset BIGINT"
+MESSAGES = "value STRING, timestamp TIMESTAMP, partition INT, offset BIGINT"
 
 
 def landed(spark, sf_dir):
@@ -52,8 +54,17 @@ def run_feed(spark, spec, sends, base, end=None):
     The last run polls until the ``end`` row if there is one.
     """
 
+    count = itertools.count()
+
     def send(messages):
-        messages.select("value", F.lit(0).alias("partition"), "offset").write.mode(
+        # Later sends have smaller partitions and offsets, as only time tells their order.
+        sent = next(count)
+        messages.select(
+            "value",
+            F.timestamp_seconds(F.lit(1_700_000_000 + sent)).alias("timestamp"),
+            F.lit(9 - sent).alias("partition"),
+            "offset",
+        ).write.mode(
             "append"
         ).parquet(f"{base}/in")
         return file_stream(spark, f"{base}/in", MESSAGES)
@@ -65,7 +76,7 @@ def run_feed(spark, spec, sends, base, end=None):
         query, _ = start(send(messages))
         query.awaitTermination()
     if end is not None:
-        query, signal = start(send(end), end_prefix="END_")
+        query, signal = start(send(end), until_end=True)
         run_until_end(query, signal, grace_seconds=1)
 
 
@@ -83,8 +94,9 @@ def sensor_feed_query(code):
             packed = blocks(
                 rows.withColumn("_n", F.col(spec.fields[0].source)), "_n", 100
             )
+            sent = F.transform("records", lambda r: r.dropFields("_n"))
             messages = packed.select(
-                F.to_json(F.array_append("records", F.lit(None))).alias("value"),
+                F.to_json(F.array_append(sent, F.lit(None))).alias("value"),
                 F.col("block").alias("offset"),
             )
         else:
@@ -110,9 +122,7 @@ def keyed_feed_query(code, changed):
         sends = [encode_messages_with(early, key), encode_messages_with(late, key)]
         end = None
         if spec.control_key:
-            newest = events.agg(*[F.max(c).alias(c) for c in ("event_id", "ts", "value")])
-            last = records(newest, spec, **{spec.control_key: F.lit("END_1")})
-            end = encode_messages_with(last, F.lit(0))
+            end = end_message(spark, spec, 1).withColumn("offset", F.lit(0).cast("bigint"))
         run_feed(spark, spec, sends, base, end)
         return keyed_table(spec, base, 16).read(spark)
 

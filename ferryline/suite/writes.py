@@ -74,12 +74,17 @@ def fanned_out(spark, sf_dir):
     root = Child("roots", lambda d: d.select("block"))
     for _ in range(2):
         fan_out(roots, children, root, base, load_id=1)
+    heads = F.concat_ws(" ", "status", "members")
     return op.union_all(
         [
-            op.batch_counts(
-                read_table(spark, f"{base}/{name}").select(F.lit(name).alias("target")), "target"
+            read_table(spark, f"{base}/{name}").select(
+                F.lit(name).alias("target"), F.col(key).alias("id"), value.alias("value")
+            )
+            for name, key, value in (
+                ("roots", "block", F.lit(None).cast("string")),
+                ("heads", "root_id", heads),
+                ("orders", "root_id", F.col("o_orderkey").cast("string")),
             )
-            for name in ("roots", "heads", "orders")
         ]
     )
 
@@ -101,6 +106,9 @@ def routed(spark, sf_dir):
     )
 
 
+COPIED = ("o_orderpriority", "c_mktsegment", "p_brand")
+
+
 def copied(spark, sf_dir):
     keys = {"orders": "o_orderkey", "customer": "c_custkey", "part": "p_partkey"}
     sources = {
@@ -111,12 +119,10 @@ def copied(spark, sf_dir):
     copies = copy_tables(spark, sources, new_dir(spark, "copy"), cut)
     return op.union_all(
         [
-            copies[name].agg(
-                F.lit(name).alias("source"),
-                F.count(F.lit(1)).alias("row_count"),
-                F.sum(key).alias("key_sum"),
+            copies[name].select(
+                F.lit(name).alias("source"), F.col(key).alias("id"), F.col(value).alias("value")
             )
-            for name, key in keys.items()
+            for (name, key), value in zip(keys.items(), COPIED)
         ]
     )
 
@@ -154,9 +160,13 @@ QUERIES = {
     "q34_fanout_counts": (
         fanned_out,
         """
-        SELECT 'roots' AS target, count(DISTINCT o_orderkey // 20) AS row_count FROM orders
-        UNION ALL SELECT 'heads', count(DISTINCT o_orderkey // 20) FROM orders
-        UNION ALL SELECT 'orders', count(*) FROM orders
+        SELECT DISTINCT 'roots' AS target, o_orderkey // 20 AS id, CAST(NULL AS VARCHAR) AS value
+        FROM orders
+        UNION ALL
+        SELECT 'heads', o_orderkey // 20,
+               arg_max(o_orderstatus, o_orderkey) || ' ' || CAST(count(*) AS VARCHAR)
+        FROM orders GROUP BY o_orderkey // 20
+        UNION ALL SELECT 'orders', o_orderkey // 20, CAST(o_orderkey AS VARCHAR) FROM orders
         """,
     ),
     "q35_variant_route": (
@@ -169,11 +179,10 @@ QUERIES = {
     "q36_table_copy": (
         copied,
         """
-        SELECT 'orders' AS source, count(*) AS row_count,
-               CAST(sum(o_orderkey) AS BIGINT) AS key_sum FROM orders
+        SELECT 'orders' AS source, o_orderkey AS id, o_orderpriority AS value FROM orders
         WHERE epoch_us(o_orderdate) // 1000 BETWEEN 883612800000 AND 4102444800000
-        UNION ALL SELECT 'customer', count(*), CAST(sum(c_custkey) AS BIGINT) FROM customer
-        UNION ALL SELECT 'part', count(*), CAST(sum(p_partkey) AS BIGINT) FROM part
+        UNION ALL SELECT 'customer', c_custkey, c_mktsegment FROM customer
+        UNION ALL SELECT 'part', p_partkey, p_brand FROM part
         """,
     ),
     "q38_json_export": (exported, "SELECT * FROM customer"),
