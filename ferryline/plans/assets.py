@@ -122,6 +122,20 @@ def time_columns(properties: DataFrame, label: str = TIME_LABEL) -> dict[str, st
     return {row["full_name"]: row["code"] for row in found.collect()}
 
 
+def asset_tables(
+    summaries: DataFrame, resolve: Callable[[str, str], TableRef]
+) -> dict[str, TableRef]:
+    """The data table of each asset, by name; ``resolve`` finds it from its database and name.
+
+    The list of a sortie's assets is metadata-sized. A name in two databases is an error.
+    """
+    listed = summaries.select("db_name", "full_name").distinct().collect()
+    names = [row["full_name"] for row in listed]
+    if len(set(names)) < len(names):
+        raise ValueError(f"a table name is listed for two databases: {sorted(names)}")
+    return {row["full_name"]: resolve(row["db_name"], row["full_name"]) for row in listed}
+
+
 def copy_asset_tables(
     spark: SparkSession,
     sortie: Row,

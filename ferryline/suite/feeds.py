@@ -205,9 +205,9 @@ def asset_copy(spark, sf_dir):
     orders.select(
         "o_orderkey", local_to_epoch_ms(F.col("o_orderdate"), assets.ZONE).alias("t0")
     ).write.parquet(timed)
-    tables = {
-        "timed": TableRef("parquet", timed, keys=("o_orderkey",)),
-        "untimed": TableRef("parquet", f"{sf_dir}/part.parquet", keys=("p_partkey",)),
+    places = {
+        ("recorded", "timed"): TableRef("parquet", timed, keys=("o_orderkey",)),
+        ("fixed", "untimed"): TableRef("parquet", f"{sf_dir}/part.parquet", keys=("p_partkey",)),
     }
     listed = orders.select(
         F.lit("s-1").alias("sortie_number"), F.lit("J-1").alias("airplane_number"),
@@ -218,7 +218,10 @@ def asset_copy(spark, sf_dir):
         F.expr("max(o_orderdate) - INTERVAL 100 DAY").alias("car_end_time"),
     )
     sortie = assets.find_sortie(flown, "s-1")
-    summary = '{"result":[{"id":1,"full_name":"timed"},{"id":2,"full_name":"untimed"}]}'
+    summary = (
+        '{"result":[{"id":1,"full_name":"timed","db_name":"recorded"},'
+        '{"id":2,"full_name":"untimed","db_name":"fixed"}]}'
+    )
     properties = {
         1: '[{"code":"c0","name":"x"},{"code":"t0","name":"消息发生时间"},{"code":"t1","name":"消息发生时间"}]',
         2: '[{"code":"c0","name":"x"}]',
@@ -237,6 +240,7 @@ def asset_copy(spark, sf_dir):
     for _ in range(2):
         assets.save_metadata(frames, base)
     columns = assets.time_columns(frames.properties)
+    tables = assets.asset_tables(frames.summaries, lambda db, name: places[db, name])
     for _ in range(2):
         copies = assets.copy_asset_tables(spark, sortie, tables, columns, base)
     stored = [

@@ -12,7 +12,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table dealt out evenly, so that making input from one small file uses all cores."""
-    return table(spark, sf_dir, name).hint("rebalance")
+    return table(spark, sf_dir, name).repartition(spark.sparkContext.defaultParallelism)
 
 
 def blocks(df: DataFrame, key: str, size: int, *extra: Column, name: str = "records") -> DataFrame:
