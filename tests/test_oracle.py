@@ -1,12 +1,14 @@
 """Every query against its SQL in DuckDB at the smallest scale."""
 
 import datetime
+import importlib
 import math
 
 import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from ferryline import suite
 
 SF = "/root/testdata/sf0.001"
 TABLES = (
@@ -14,8 +16,8 @@ TABLES = (
     "pages benchmark labels conversations"
 ).split()
 
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
+QUERIES = suite.queries()
+ORACLE = suite.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -60,3 +62,27 @@ def test_entry(spark):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
+
+
+def test_optional_parts_may_be_missing(monkeypatch):
+    """The entry points work without the optional parts, but do not hide other faults."""
+    real = importlib.import_module
+
+    def without(name):
+        if name == "ferryline.llm.suite":
+            raise ModuleNotFoundError("gone", name="ferryline.llm")
+        if name == "corpus_pipeline":
+            raise ModuleNotFoundError("gone", name="corpus_pipeline")
+        return real(name)
+
+    monkeypatch.setattr(entry_points.importlib, "import_module", without)
+    assert set(entry_points.queries()) == set(QUERIES)
+
+    def broken(name):
+        raise ModuleNotFoundError("gone", name="numpy")
+
+    monkeypatch.setattr(entry_points.importlib, "import_module", broken)
+    with pytest.raises(ModuleNotFoundError):
+        entry_points.queries()
