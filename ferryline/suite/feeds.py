@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ferryline import operators as op
 from ferryline.feeds import FEEDS, feed
+from ferryline.feeds.record_feeds import PLAN_PARTS
 from ferryline.functions import local_to_epoch_ms
 from ferryline.plans import assets, load, sorties
 from ferryline.plans.run import keyed_table
@@ -70,36 +71,55 @@ def _personnel_sql():
     return f"SELECT {columns}, CAST({IMPORT_ID} AS BIGINT) AS import_id FROM events"
 
 
+def _values(part, key):
+    """A value for every column of a part of a plan, told apart by column and key."""
+    return [
+        (F.concat(F.lit(f"{f.source} "), key.cast("string")) if f.source_type == "string"
+         else (key % 100).cast(f.source_type)).alias(f.source)
+        for f in PLAN_PARTS[part]
+    ]
+
+
+def _values_sql(part, key):
+    """The same as one text, in the order of the columns."""
+    texts = [
+        f"'{f.target} ' || {key}" if f.source_type == "string" else f"CAST({key} % 100 AS VARCHAR)"
+        for f in PLAN_PARTS[part]
+    ]
+    return f"concat_ws('|', {', '.join(texts)})"
+
+
 def plan_documents(spark, sf_dir):
-    """Documents of up to 20 orders each, in the nested shape of a flight plan."""
+    """Documents of up to 20 orders each, in the nested shape of a flight plan, all fields set."""
     orders = table(spark, sf_dir, "orders")
     packed = blocks(orders, "o_orderkey", 20, F.max("o_orderdate").alias("day"))
     record = F.col("records")
 
-    def rows(status, **fields):
+    def rows(status, part):
         chosen = F.filter(record, lambda r: r["o_orderstatus"] == status)
-        return F.transform(
-            chosen, lambda r: F.struct(*[r[c].cast("string").alias(n) for n, c in fields.items()])
-        )
+        return F.transform(chosen, lambda r: F.struct(*_values(part, r["o_orderkey"])))
 
     return packed.select(
         F.col("block").cast("string").alias("id"),
         F.date_format("day", "yyyy-MM-dd").alias("flight_date"),
         F.col("day").alias("flight_date_time"),
-        F.struct(
-            F.concat(F.lit("plan "), F.col("block")).alias("title"),
-            F.size("records").alias("plane_num"),
-        ).alias("flightHead"),
+        F.struct(*_values("flight_head", F.col("block"))).alias("flightHead"),
         F.when(
             F.exists(record, lambda r: r["o_orderstatus"] == "F"),
-            F.struct(F.lit("has finished").alias("note")),
+            F.struct(*_values("flight_notes", F.col("block"))),
         ).alias("flightNotes"),
-        rows("F", name="o_orderkey", lb="o_orderpriority").alias("flightCommands"),
-        rows("P", code="o_orderkey", rw="o_orderpriority").alias("flightTasks"),
-        rows("O", cs="o_orderkey", sj="o_orderpriority").alias("flightPlans"),
+        *[rows(status, part).alias(name) for name, part, status in LISTED],
     )
 
 
+# Which orders become rows of which list.
+LISTED = (
+    ("flightCommands", "flight_cmd", "F"),
+    ("flightTasks", "flight_task", "P"),
+    ("flightPlans", "flight_plan", "O"),
+)
+
+
 def plan_feed_query(code, variant, database):
     def run(spark, sf_dir):
         base = new_dir(spark, code)
@@ -124,43 +144,36 @@ def plan_feed_query(code, variant, database):
 
 
 def plan_rows(spark, base):
-    """All tables of the documents in one shape: table, id of the root, two values."""
+    """All tables of the documents in one shape: table, id of the root, all columns as a text."""
 
-    def read(name, root, *values):
+    def read(name, root, *columns):
         stored = read_table(spark, f"{base}/{name}")
         return stored.select(
             F.lit(name).alias("target"),
             F.col(root).cast("string").alias("root_id"),
-            *[v.cast("string").alias(f"v{i}") for i, v in enumerate(values)],
+            F.concat_ws("|", *columns).alias("content"),
             "import_id",
         )
 
-    return op.union_all(
-        [
-            read("flight_plan_root", "id", F.col("flight_date"), F.col("flight_date_time").cast("date")),
-            read("flight_head", "root_id", F.col("title"), F.col("plane_num")),
-            read("flight_notes", "root_id", F.col("note"), F.lit(None)),
-            read("flight_cmd", "root_id", F.col("name"), F.col("lb")),
-            read("flight_task", "root_id", F.col("code"), F.col("rw")),
-            read("flight_plan", "root_id", F.col("cs"), F.col("sj")),
-        ]
-    )
+    day = F.col("flight_date_time").cast("date")
+    parts = [read("flight_plan_root", "id", F.col("flight_date"), day)]
+    parts += [read(name, "root_id", *[f.target for f in fields]) for name, fields in PLAN_PARTS.items()]
+    return op.union_all(parts)
 
 
 def _plan_sql():
-    block = "CAST(o_orderkey // 20 AS VARCHAR)"
+    block, key = "CAST(o_orderkey // 20 AS VARCHAR)", "o_orderkey // 20"
     day = "CAST(CAST(max(o_orderdate) AS DATE) AS VARCHAR)"
     parts = [
-        f"SELECT 'flight_plan_root' AS target, {block} AS root_id, {day} AS v0, {day} AS v1 "
-        "FROM orders GROUP BY 2",
-        f"SELECT 'flight_head', {block}, 'plan ' || {block}, CAST(count(*) AS VARCHAR) "
+        f"SELECT 'flight_plan_root' AS target, {block} AS root_id, {day} || '|' || {day} AS content "
         "FROM orders GROUP BY 2",
-        f"SELECT DISTINCT 'flight_notes', {block}, 'has finished', NULL "
+        f"SELECT DISTINCT 'flight_head', {block}, {_values_sql('flight_head', f'({key})')} FROM orders",
+        f"SELECT DISTINCT 'flight_notes', {block}, {_values_sql('flight_notes', f'({key})')} "
         "FROM orders WHERE o_orderstatus = 'F'",
     ] + [
-        f"SELECT '{name}', {block}, CAST(o_orderkey AS VARCHAR), o_orderpriority "
+        f"SELECT '{part}', {block}, {_values_sql(part, 'o_orderkey')} "
         f"FROM orders WHERE o_orderstatus = '{status}'"
-        for name, status in (("flight_cmd", "F"), ("flight_task", "P"), ("flight_plan", "O"))
+        for _, part, status in LISTED
     ]
     return (
         f"SELECT *, CAST({IMPORT_ID} AS BIGINT) AS import_id FROM ({' UNION ALL '.join(parts)})"
