@@ -142,7 +142,7 @@ def copy_asset_tables(
     tables: Mapping[str, TableRef],
     columns: Mapping[str, str],
     base: str,
-    buckets: int = 16,
+    buckets: int | None = None,
 ) -> dict[str, DataFrame]:
     """Copy each asset's table, cut to the sortie's time where the table has a time column."""
 

@@ -18,7 +18,7 @@ def copy_table(
     source: TableRef,
     path: str,
     select: Select | None = None,
-    buckets: int = 16,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Copy the selected rows of a table into one with the same columns; gives the copy.
 
@@ -41,7 +41,7 @@ def copy_tables(
     sources: Mapping[str, TableRef],
     base: str,
     select: Mapping[str, Select] | None = None,
-    buckets: int = 16,
+    buckets: int | None = None,
 ) -> dict[str, DataFrame]:
     """One copy per listed table. The list is metadata-sized, each copy is one Spark job."""
     return {

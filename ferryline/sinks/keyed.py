@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -21,6 +21,11 @@ from ferryline.sinks.append import empty_frame
 from ferryline.sinks.paths import Files
 from ferryline.sources.changelog import DELETED
 
+DEFAULT_BUCKETS = 16
+BUCKET_BYTES = 512 << 20
+# Where Spark cannot tell a size, it assumes a very large one.
+_UNKNOWN = 1 << 54
+
 _BUCKET = "_bucket"
 _NEW = "_new"
 _SLICE = "_slice"
@@ -50,13 +55,14 @@ class KeyedTable:
     each writes to a directory of its own, and the file of a version is created only once.
 
     ``buckets`` is for a new table; an existing one knows its own. It should put 128 MB
-    to 1 GB into one directory at the expected size.
+    to 1 GB into one directory at the expected size. None takes it from the size Spark
+    knows for the first load, which suits copies that will not grow much.
     """
 
     path: str
     schema: StructType
     keys: tuple[str, ...]
-    buckets: int = 16
+    buckets: int | None = DEFAULT_BUCKETS
 
     def read(self, spark: SparkSession) -> DataFrame:
         return self._stored(spark, self._version(spark)).select(*self.schema.names)
@@ -84,11 +90,19 @@ class KeyedTable:
     def _latest(self, changes: DataFrame, sequence: list[str], tie_break: bool) -> DataFrame:
         return latest_per_key(changes, list(self.keys), sequence, tie_break) if sequence else changes
 
+    def rebucketed(self, spark: SparkSession, path: str, buckets: int) -> KeyedTable:
+        """The same rows in a new table with another number of directories."""
+        new = KeyedTable(path, self.schema, self.keys, buckets)
+        new.delete_insert(self.read(spark))
+        return new
+
     # Writing
 
     def _write(self, changes: DataFrame, deletes: bool = False, unique: bool = True) -> None:
         spark = changes.sparkSession
         version = self._version(spark)
+        if not version.buckets:
+            version = replace(version, buckets=_buckets_for(changes))
         deleted = F.col(DELETED) if deletes else F.lit(False)
         bucket = F.pmod(F.xxhash64(*self.keys), F.lit(version.buckets)).cast("int")
         changes = changes.select(*self._conform(), deleted.alias(DELETED)).withColumn(
@@ -193,7 +207,7 @@ class KeyedTable:
         for number in sorted(self._numbers(files), reverse=True):
             if (found := self._load(files, number)) is not None:
                 return found
-        return Version(0, self.buckets)
+        return Version(0, self.buckets or 0)
 
     def _numbers(self, files: Files) -> list[int]:
         names = files.file_names(self._versions)
@@ -218,7 +232,19 @@ class KeyedTable:
         return reader.parquet(*paths).drop("write")
 
 
+def _size(df: DataFrame) -> int:
+    """The size in bytes that Spark knows for a frame, or assumes."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def _buckets_for(df: DataFrame) -> int:
+    size = _size(df)
+    if size > _UNKNOWN:
+        return DEFAULT_BUCKETS
+    return max(1, -(-size // BUCKET_BYTES))
+
+
 def _fits_broadcast(spark: SparkSession, df: DataFrame) -> bool:
     """Whether the size Spark knows for a frame is under the session's broadcast threshold."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    size = _size(df)
     return size <= spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()

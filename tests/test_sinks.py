@@ -8,6 +8,7 @@ from ferryline.sinks import (
     KeyedTable,
     MergeTable,
     append_once,
+    copy_table,
     create_if_absent,
     encode_messages,
     export_json,
@@ -18,6 +19,7 @@ from ferryline.sinks import (
     route,
 )
 from ferryline.sinks.paths import Files
+from ferryline.sources import TableRef
 from ferryline.sources.changelog import DELETED
 
 SCHEMA = StructType([StructField("k", LongType()), StructField("v", StringType())])
@@ -284,3 +286,31 @@ def test_shared_folder(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert named is None or shared_dir(spark) == named.rstrip("/")
     assert new_dir(spark, "x").startswith(shared_dir(spark))
+
+
+def test_directories_from_the_size_of_the_first_load(spark, tmp_path, rows):
+    small = KeyedTable(str(tmp_path / "small"), SCHEMA, ("k",), buckets=None)
+    assert rows(small.read(spark)) == []
+    path = str(tmp_path / "in")
+    frame(spark, *[(i, "a", 0) for i in range(20)]).write.parquet(path)
+    small.upsert(spark.read.parquet(path), ["n"])
+    assert small._version(spark).buckets == 1
+    wide = small.rebucketed(spark, str(tmp_path / "wide"), 8)
+    assert wide._version(spark).buckets == 8
+    assert rows(wide.read(spark)) == rows(small.read(spark))
+
+
+def test_copies_under_a_declared_key_are_not_reduced(spark, tmp_path, monkeypatch):
+    """A first copy is one pass: no window over the key, no shuffle but that of the write."""
+    spark.range(100).write.parquet(str(tmp_path / "in"))
+    plans = []
+    real = KeyedTable._replace
+
+    def seen(self, version, merged, touched):
+        plans.append(merged._jdf.queryExecution().optimizedPlan().toString())
+        return real(self, version, merged, touched)
+
+    monkeypatch.setattr(KeyedTable, "_replace", seen)
+    source = TableRef("parquet", str(tmp_path / "in"), keys=("id",))
+    assert copy_table(spark, source, str(tmp_path / "out")).count() == 100
+    assert "Window" not in plans[0] and "Sort" not in plans[0]
