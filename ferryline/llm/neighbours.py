@@ -47,6 +47,13 @@ def _rows(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.where(F.col("id").isNotNull() & usable("v")).distinct()
 
 
+def _tasks(df: DataFrame, groups: int) -> int:
+    """Partitions for so many groups: given, so that small but costly ones stay apart, and
+    no more than a cluster can use."""
+    most = 32 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(2 * groups, most))
+
+
 def build(
     df: DataFrame,
     k: int = K,
@@ -67,8 +74,7 @@ def build(
     nodes = staged(nodes.withColumn("dim", F.size("v")), "vectors")
     n_shards = max(1, -(-nodes.count() // shard))
     keyed = nodes.withColumn("shard", F.pmod(F.xxhash64("v"), F.lit(n_shards)).cast("int"))
-    # A number of partitions is given so that small but costly shards stay apart.
-    dealt = keyed.repartition(2 * n_shards, "dim", "shard")
+    dealt = keyed.repartition(_tasks(df, n_shards), "dim", "shard")
     return staged(dealt.groupBy("dim", "shard").applyInPandas(_grow, INDEX), "index")
 
 
@@ -98,7 +104,7 @@ def search(
     )
     blocks = F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))
     right = index.withColumn("block", blocks)
-    n_tasks = 2 * n_blocks * max(1, shards.count())
+    n_tasks = _tasks(index, n_blocks * shards.count())
     key = ["dim", "shard", "block"]
     pairs = (
         left.repartition(n_tasks, *key)
