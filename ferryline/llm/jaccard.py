@@ -136,8 +136,10 @@ def _meetings(classes: DataFrame, threshold: float) -> DataFrame:
     stopped = []
     for level in range(1, DEPTH + 1):
         h = f"h{level}"
+        # Written first: the join then has a plain shuffle on either side, so that Spark can
+        # split a node that a large part of all sets is in.
         sizes = nodes.groupBy(h).agg(F.count("*").alias("n")).where("n > 1")
-        met = staged(paths.join(sizes, h), f"level{level}")
+        met = staged(paths.join(staged(sizes, f"sizes{level}"), h), f"level{level}")
         ends = met if level == DEPTH else met.where(F.col("n") <= SMALL)
         small = F.col("n") <= SMALL
         stopped.append(ends.select(F.col(h).alias("node"), "key", small.alias("small")).distinct())
