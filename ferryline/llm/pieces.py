@@ -8,9 +8,10 @@ zero if the model's merges, run on the two together, leave that very boundary, i
 otherwise. A spelling by merges is one whose neighbours all stay apart, so the path of
 finite weight is the shortest one, and it is found depth first, longest pieces first.
 
-No piece has the space mark after another character, so no path crosses from a character
-to a space mark, and the lattice falls into words. Spellings of words are kept in a
-bounded store that lives as long as its worker.
+Two characters that stand side by side in no piece are a border that no path crosses, so
+the lattice falls into words at space marks and ends of lines, and words into their
+letters and stops. Spellings of these parts are kept in a bounded store that lives as long
+as its worker.
 """
 
 from __future__ import annotations
@@ -23,11 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferryline.llm.common import filled
+from ferryline.llm.common import filled, slices
 
 MARK = "▁"
-# Bounds of a worker's stores: words, and pairs of pieces.
-KNOWN_WORDS, KNOWN_PAIRS = 500_000, 500_000
+# Bounds of a worker's stores: words with and without a mark, and pairs of pieces.
+KNOWN_WORDS, KNOWN_PAIRS = 300_000, 400_000
 BPE = 2
 
 
@@ -57,6 +58,22 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
         at += size
 
 
+class Words(dict):
+    """Spellings of words with something in front; emptied when full."""
+
+    def __init__(self, owner: Transducer, front: str):
+        super().__init__()
+        self.owner, self.front = owner, front
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.owner.spelling(self.front + word)
+        if len(word) <= 64:
+            if len(self) >= KNOWN_WORDS:
+                self.clear()
+            self[word] = found
+        return found
+
+
 class Transducer:
     """A compiled model file of merges (BPE)."""
 
@@ -95,15 +112,19 @@ class Transducer:
             self.spelt.append(spelt)
         if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("a piece has a space mark after another character")
-        self.trie: dict = {}
+        # Of each character: the characters that follow, and the piece that ends here.
+        self.trie: dict[str, tuple] = {}
         for piece in self.ids:
             node = self.trie
-            for c in piece:
-                node = node.setdefault(c, {})
-            node[""] = piece
+            for c in piece[:-1]:
+                node = node.setdefault(c, ({}, None))[0]
+            below = node[piece[-1]][0] if piece[-1] in node else {}
+            node[piece[-1]] = (below, piece)
+        self.side_by_side = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
+        self.by_line = not any("\n" in p for p in self.ids)
         self.pairs: dict[str, dict[str, bool]] = {}
         self.n_pairs = 0
-        self.words: dict[str, bytes] = {}
+        self.inner, self.first = Words(self, MARK), Words(self, "")
 
     def merged(self, text: str) -> list[str]:
         """What the merges make of a text: best score first, the leftmost if equal."""
@@ -129,78 +150,52 @@ class Transducer:
         return known
 
     def arcs(self, text: str, at: int) -> list[str]:
-        """Pieces that the text goes on with, longest first, or a character without one."""
+        """Pieces that the text goes on with, longest last, or a character without one."""
         node, found = self.trie, []
-        for i in range(at, len(text)):
-            node = node.get(text[i])
-            if node is None:
+        for c in text[at:]:
+            step = node.get(c)
+            if step is None:
                 break
-            if "" in node:
-                found.append(node[""])
+            node, piece = step
+            if piece is not None:
+                found.append(piece)
         if not found or len(found[0]) > 1:
             found.insert(0, text[at])
-        found.reverse()
         return found
 
     def shortest(self, text: str) -> list[str]:
         """The path of least weight through the lattice of a normalised text."""
         path: list[str] = []
-        at, n, trie = 0, len(text), self.trie
-        apart: dict[str, bool] | None = None
+        others: list[list[str]] = []  # arcs not tried at each step
+        dead: set[tuple[int, str]] = set()
+        at, n = 0, len(text)
         while at < n:
-            # Nearly always the longest pieces lead through, with no way back to be kept.
-            node, i, found = trie, at, []
-            while i < n and (node := node.get(text[i])) is not None:
-                if "" in node:
-                    found.append(node[""])
-                i += 1
-            if not found or len(found[0]) > 1:
-                found.insert(0, text[at])
-            for arc in reversed(found):
-                if not path:
-                    break
-                free = apart.get(arc)
-                if free is None:
-                    free = self.apart(path[-1], arc)
-                    apart = self.pairs[path[-1]]
-                if free:
+            open_arcs = self.arcs(text, at)
+            while True:
+                known = self.pairs.get(path[-1], {}) if path else None
+                arc = None
+                while open_arcs:
+                    arc = open_arcs.pop()
+                    if known is None:
+                        free = True
+                    elif (free := known.get(arc)) is None:
+                        free = self.apart(path[-1], arc)
+                    if free and not (dead and (at, arc) in dead):
+                        break
+                    arc = None
+                if arc is not None:
                     break
-            else:
-                return self._searched(text)
+                if not path:
+                    raise ValueError("a text has no path of finite weight")
+                back = path.pop()
+                at -= len(back)
+                dead.add((at, back))
+                open_arcs = others.pop()
             path.append(arc)
+            others.append(open_arcs)
             at += len(arc)
-            apart = self.pairs.get(arc)
-            if apart is None:
-                apart = self.pairs[arc] = {}
         return path
 
-    def _searched(self, text: str) -> list[str]:
-        """``shortest`` depth first, with dead ends remembered."""
-        path: list[str] = []
-        open_arcs = [iter(self.arcs(text, 0))]
-        ends, dead = [0], set()
-        while open_arcs:
-            for arc in open_arcs[-1]:
-                state = (ends[-1], arc)
-                if state in dead:
-                    continue
-                if path:
-                    free = self.pairs.get(path[-1], {}).get(arc)
-                    if not (self.apart(path[-1], arc) if free is None else free):
-                        continue
-                path.append(arc)
-                ends.append(ends[-1] + len(arc))
-                if ends[-1] == len(text):
-                    return path
-                open_arcs.append(iter(self.arcs(text, ends[-1])))
-                break
-            else:  # no way on from here
-                open_arcs.pop()
-                if path:
-                    ends.pop()
-                    dead.add((ends[-1], path.pop()))
-        raise ValueError("a text has no path of finite weight")
-
     def _spelt(self, text: str) -> bytes:
         ids: list[int] = []
         for arc in self.shortest(text):
@@ -213,15 +208,11 @@ class Transducer:
                 ids.append(self.unknown)
         return np.asarray(ids, "<i4").tobytes()
 
-    def word(self, text: str) -> bytes:
-        known = self.words.get(text)
-        if known is None:
-            known = self._spelt(text)
-            if len(text) <= 64:
-                if len(self.words) >= KNOWN_WORDS:
-                    self.words.clear()
-                self.words[text] = known
-        return known
+    def spelling(self, text: str) -> bytes:
+        """Ids of a normalised text, which may be cut before its last character."""
+        if len(text) > 1 and text[-2:] not in self.side_by_side and text[-1] != MARK:
+            return self.first[text[:-1]] + self.first[text[-1]]
+        return self._spelt(text)
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian 32-bit numbers."""
@@ -231,19 +222,26 @@ class Transducer:
             text = " ".join(filter(None, text.split(" ")))
         if not text:
             return b""
-        words = text.split(" ")
-        word = self.word
+        if self.prefix:
+            text = " " + text
+        if not self.by_line:
+            return self._line(text)
+        return self.first["\n"].join(map(self._line, text.split("\n")))
+
+    def _line(self, text: str) -> bytes:
+        first, *words = text.split(" ")
         if "" not in words:
-            first = word(MARK + words[0] if self.prefix else words[0])
-            return first + b"".join([word(MARK + w) for w in words[1:]])
-        # Several spaces in a row, or spaces at an end.
-        out, marks = [], 1 if self.prefix else 0
-        for i, w in enumerate(words):
-            if i:
-                marks += 1
-            if w or i == len(words) - 1:
-                out.append(word(MARK * marks + w))
+            inner = list(map(self.inner.__getitem__, words))
+            return b"".join([self.first[first], *inner]) if first else b"".join(inner)
+        # Several spaces in a row, or one at the end.
+        out, marks = [self.first[first]] if first else [], 0
+        for word in words:
+            marks += 1
+            if word:
+                out.append(self.first[MARK * marks + word])
                 marks = 0
+        if marks:
+            out.append(self.first[MARK * marks])
         return b"".join(out)
 
     def decode(self, ids: list[int]) -> str:
@@ -286,7 +284,7 @@ def decode(df: DataFrame, model: str, ids_col: str = "ids", out_col: str = "text
 def _encode(model: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = transducer(model).encode
-        for batch in batches:
+        for batch in slices(batches):
             spelt = [code(text.as_py()) for text in batch["text"]]
             sizes = np.array([len(s) // 4 for s in spelt], np.int64)
             stops = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
@@ -300,7 +298,7 @@ def _encode(model: str) -> Callable:
 def _decode(model: str, at: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text = transducer(model).decode
-        for batch in batches:
+        for batch in slices(batches):
             found = [
                 None if ids is None else text(np.asarray(ids.values).tolist())
                 for ids in (x if x.is_valid else None for x in batch.column(at))
