@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ferryline.llm.common import filled, staged
+from ferryline.llm.common import filled, slices, staged
 
 SPACE = r"[\x20\x09-\x0D]+"
 # Splitters are sampled from this many leading characters, the digest and the id, so
@@ -142,7 +142,7 @@ def _compare(carried: list[str]) -> Callable:
             return pa.RecordBatch.from_arrays(columns, names)
 
         names = ["doc_id", "digest", "place", "first", "size", "run", "norm", *carried]
-        for batch in batches:
+        for batch in slices(batches):
             n = batch.num_rows
             if not n:
                 continue

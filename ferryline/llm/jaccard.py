@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferryline.llm.common import filled, staged
+from ferryline.llm.common import filled, slices, staged
 from ferryline.llm.components import components
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.995
@@ -286,7 +286,7 @@ def _sets(words: int, threshold: float, n_runs: int) -> Callable:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             keys, sizes, sketches, stops, levels = [], [], [], [0], []
             for text in batch["text"]:
                 found = shingles(text.as_py(), words)
@@ -315,7 +315,7 @@ def _sets(words: int, threshold: float, n_runs: int) -> Callable:
 
 def _shingled(words: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [shingles(text.as_py(), words) for text in batch["text"]]
             own = [set_key(f) == k for f, k in zip(found, batch["key"].to_pylist())]
             columns = [*batch.columns[:-1], pa.array([f.tobytes() for f in found], pa.binary())]

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ferryline.llm.bpe import encoder
-from ferryline.llm.common import filled, staged
+from ferryline.llm.common import filled, slices, staged
 
 CAPACITY = 1024
 END = 2
@@ -172,7 +172,7 @@ def _cut(tokenizer: str, capacity: int, end: int, with_ids: bool) -> Callable:
         task = TaskContext.get().partitionId()
         seen = [0] * (capacity + 1)
         last = np.array([end], "<u4")
-        for batch in batches:
+        for batch in slices(batches):
             rows, parts = [], []
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
                 ids = np.concatenate([encode(text.as_py()), last])
