@@ -209,10 +209,17 @@ class Transducer:
         return np.asarray(ids, "<i4").tobytes()
 
     def spelling(self, text: str) -> bytes:
-        """Ids of a normalised text, which may be cut before its last character."""
-        if len(text) > 1 and text[-2:] not in self.side_by_side and text[-1] != MARK:
-            return self.first[text[:-1]] + self.first[text[-1]]
-        return self._spelt(text)
+        """Ids of a normalised text, cut at each border that no piece crosses."""
+        cuts = [
+            i
+            for i in range(1, len(text))
+            if text[i - 1 : i + 1] not in self.side_by_side and text[i] != MARK
+        ]
+        if not cuts:
+            return self._spelt(text)
+        # A part has no border inside, so its own spelling cuts no further.
+        parts = zip([0, *cuts], [*cuts, len(text)])
+        return b"".join([self.first[text[a:b]] for a, b in parts])
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian 32-bit numbers."""

@@ -1,5 +1,6 @@
 import numpy as np
 import public_tokenizers
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from sentencepiece import SentencePieceProcessor
@@ -26,6 +27,23 @@ def test_ids_and_texts_are_those_of_the_library(text):
     assert pieces.transducer(PATH).decode(ids(text)) == LIBRARY.decode(ids(text))
 
 
+@pytest.mark.parametrize(
+    "said",
+    [
+        "我们今天在这里讨论一种新的方法并且给出所有结果。",
+        "ภาษาไทยเขียนติดกันโดยไม่มีช่องว่างระหว่างคำ",
+        "\U0001f600",
+        "§",
+        "ä",
+        "日本語abcのtheテキスト,ing",
+    ],
+)
+def test_long_texts_without_spaces(said):
+    text = (said * 5000)[:5000]
+    assert ids(text) == LIBRARY.encode(text)
+    assert ids(f"so {text} it") == LIBRARY.encode(f"so {text} it")
+
+
 def test_weights_forbid_what_merges_would_join():
     t = pieces.transducer(PATH)
     path = t.shortest("▁thening")
