@@ -229,6 +229,18 @@ _NUMBER = re.compile(
     re.X,
 )
 _IBAN = re.compile(r"[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?")
+# Characters of an IBAN by country, as registered.
+_IBAN_SIZES = {
+    country: size
+    for size, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+        21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+        24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+        27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+        30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
 _GROUPS = re.compile(r"(.*\d)[ .-]\d+")
 _NAME = re.compile(r"[A-Za-z0-9._%+-]{1,64}$")
 _DOMAIN = re.compile(r"@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}[A-Za-z0-9])?\.)+[A-Za-z]{2,24}")
@@ -253,14 +265,32 @@ def _matches(text: str) -> Iterator[tuple[str, int, int]]:
                     found = "iban", i - 2, n.end()
             elif not (before.isalnum() or before in "_+(") and (n := _NUMBER.match(text, i)):
                 found = next(k for k in KINDS if n.groupdict().get(k)), i, n.end()
-        while found:
-            kind, start, stop = found
-            if (stop == len(text) or not _joined(text, stop)) and (yield found):
-                at = done = stop
+        if not found:
+            continue
+        kind, start, stop = found
+        for end in _ends(text, kind, start, stop):
+            if (end == len(text) or not _joined(text, end)) and (yield kind, start, end):
+                at = done = end
                 break
-            # The groups of a phone number may run on into the number after it.
-            shorter = _GROUPS.fullmatch(text, start, stop) if kind == "phone" else None
-            found = (kind, start, shorter.end(1)) if shorter else None
+
+
+def _ends(text: str, kind: str, start: int, stop: int) -> Iterator[int]:
+    """Where a candidate may end, in the order to be tried."""
+    if kind == "iban":
+        # An upper-case word or a number behind it looks like more of its groups.
+        size = _IBAN_SIZES.get(text[start : start + 2])
+        places = [i for i in range(start, stop) if text[i] != " "]
+        if size and len(places) > size:
+            yield places[size - 1] + 1
+        yield stop
+        if not size:
+            yield from (i for i in range(stop - 1, start, -1) if text[i] == " ")
+        return
+    yield stop
+    # The groups of a phone number may run on into the number after it.
+    while kind == "phone" and (shorter := _GROUPS.fullmatch(text, start, stop)):
+        stop = shorter.end(1)
+        yield stop
 
 
 def _joined(text: str, end: int) -> bool:

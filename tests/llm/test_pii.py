@@ -85,3 +85,17 @@ def test_tables(spark, odd, nothing, documents):
     assert n > 0
     with pytest.raises(ValueError):
         pii.pseudonymise(odd, KEY, ("shoe size",))
+
+
+@pytest.mark.parametrize("number", [
+    "BE68 5390 0754 7034", "BE68539007547034", "AT61 1904 3002 3457 3201", "ES9121000418450200051332",
+    "PL61 1090 1014 0000 0712 1981 2874", "GB82 WEST 1234 5698 7654 32",
+])
+@pytest.mark.parametrize("behind", ["", " BIC", " SWIFT", " 2024", " Bank", " A B", ", ABCD"])
+def test_account_numbers_before_words_and_numbers(number, behind):
+    new, found = pii.Pseudonymiser(b"k").replaced(f"to {number}{behind} then")
+    (one,) = found
+    assert (one["kind"], one["start"], one["stop"]) == ("iban", 3, 3 + len(number))
+    assert number not in new and new.endswith(f"{behind} then")
+    plain = one["pseudonym"].replace(" ", "")
+    assert pii._mod97(plain[4:] + plain[:4]) == 1
