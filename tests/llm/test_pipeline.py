@@ -1,3 +1,5 @@
+import base64
+import random
 import re
 
 import corpus_pipeline
@@ -29,6 +31,29 @@ def test_stages_take_effect(spark, tmp_path, documents):
     assert secrets.where(f"text rlike '{leaks}'").count() == 0
 
 
+def test_texts_in_no_known_language_go(spark, documents):
+    rng = random.Random(3)
+    polish = (
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni "
+        "obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa. "
+    )
+    lower = "abcdefghijklmnopqrstuvwxyz"
+    junk = [
+        "".join(rng.choice(lower + "  ") for _ in range(300)),
+        base64.b64encode(rng.randbytes(200)).decode(),
+        rng.randbytes(200).hex(),
+        polish,
+        polish * 4,
+        "".join(rng.choice(lower + lower.upper()) for _ in range(60)),
+    ]
+    clean = [r.text[:n] for r in documents.limit(5).collect() for n in (30, 60, 200)] + ["so", "x"]
+    texts = [(-1 - i, t, None) for i, t in enumerate(junk)] + [(10**6 + i, t, None) for i, t in enumerate(clean)]
+    extra = spark.createDataFrame(texts, "doc_id long, text string, lang string")
+    both = documents.unionByName(extra, allowMissingColumns=True)
+    kept = {r.doc_id for r in corpus_pipeline.identify_language(spark, both, "").select("doc_id").collect()}
+    assert kept == {r.doc_id for r in documents.collect()} | {10**6 + i for i in range(len(clean))}
+
+
 def test_run_equals_the_stages(spark, tmp_path, documents):
     last = staged(spark, tmp_path, documents)[-1]
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
