@@ -1,8 +1,9 @@
 """N-gram Jaccard join by chosen paths.
 
 Each text is the set of its shingles of words. A run is a random tree: a node passes a set
-on to a child for each of its shingles that the node samples, with a chance of one in
-(threshold * size of the set), so two similar sets expect to share at least one child. Sets
+on to a child for each of its shingles that the node samples and the path has not taken, with
+a chance of one in (threshold * size of the set - shingles taken), so two similar sets expect
+to share at least one child at every depth, however small they are. Sets
 that meet in a small node are compared there; a larger node is split by its children. One
 run finds a similar pair with a known chance, so runs are repeated until the target recall
 is reached: their number follows from the threshold, the depth and the target.
@@ -52,9 +53,10 @@ SETS = (
 def runs_needed(recall: float, depth: int = DEPTH) -> int:
     """Runs that find a pair right at the threshold with at least the given chance.
 
-    Such a pair expects one common child in each node, about Poisson distributed, so it
-    meets at a depth with chance 1 - exp(-chance at the depth before). More similar pairs
-    meet more often, and most nodes are small before the full depth.
+    Such a pair has m shingles in common that its path has not taken, and each is sampled
+    with a chance of 1 / m at least. So it meets at a depth with chance 1 - (1 - c / m) ** m,
+    where c is the chance below. That is least for large sets, where it is 1 - exp(-c). More
+    similar pairs meet more often, and most nodes are small before the full depth.
     """
     chance = 1.0
     for _ in range(depth):
@@ -133,7 +135,7 @@ def _meetings(classes: DataFrame, threshold: float) -> DataFrame:
     first = F.array_distinct(F.transform("paths", lambda p: p["h1"]))
     nodes = classes.select("key", F.explode(first).alias("h1"))
     paths = classes.select("key", F.explode("paths").alias("p")).select("key", "p.*")
-    stopped = []
+    stopped, spent = [], []
     for level in range(1, DEPTH + 1):
         h = f"h{level}"
         # Written first: the join then has a plain shuffle on either side, so that Spark can
@@ -143,6 +145,13 @@ def _meetings(classes: DataFrame, threshold: float) -> DataFrame:
         ends = met if level == DEPTH else met.where(F.col("n") <= SMALL)
         small = F.col("n") <= SMALL
         stopped.append(ends.select(F.col(h).alias("node"), "key", small.alias("small")).distinct())
+        if level < DEPTH and level / threshold >= level + 1:
+            # A set whose shingles are all taken has no child; the node's sets contain it.
+            inside = met.where(F.col("n") > SMALL).select(F.col(h).alias("node"), "key").distinct()
+            inside = inside.join(classes.select("key", "size"), "key")
+            whole = inside.where(F.col("size") == level).select("node", F.col("key").alias("b"))
+            near = inside.where((F.col("size") > level) & (F.col("size") * threshold <= level + 1e-9))
+            spent.append(near.join(whole, "node").select(F.col("key").alias("a"), "b"))
         if level < DEPTH:
             paths = met.where(F.col("n") > SMALL).drop("n")
             below = f"h{level + 1}"
@@ -160,7 +169,10 @@ def _meetings(classes: DataFrame, threshold: float) -> DataFrame:
     )
     ordered = small.repartition("node").sortWithinPartitions("node", "key")
     met = ordered.mapInArrow(_compare(threshold), "a binary, b binary")
-    return met.unionByName(tied)
+    met = met.unionByName(tied)
+    for more in spent:
+        met = met.unionByName(more)
+    return met
 
 
 def _checked(
@@ -239,11 +251,13 @@ def _child(nodes: np.ndarray, found: np.ndarray) -> np.ndarray:
 
 def paths(found: np.ndarray, threshold: float, n_runs: int) -> list[tuple]:
     """Chosen paths of a set: the nodes at each depth, None below the last one."""
-    below = np.uint64(min(2**64 - 1, int(2**64 / (threshold * len(found)))))
     roots = np.arange(1, n_runs + 1, dtype=np.uint64) * _M2
     tops: list[tuple] = [()] * n_runs
     out, nodes, taken = [], roots, [()] * n_runs
-    for _ in range(DEPTH):
+    for depth in range(DEPTH):
+        # Two similar sets share threshold * size or more, less the shingles taken.
+        left = max(1.0, threshold * len(found) - depth)
+        below = np.uint64(min(2**64 - 1, int(2**64 / left)))
         at, which = _sampled(nodes, found, below)
         if len(at):
             token = found[which]

@@ -100,6 +100,29 @@ def test_recall_of_meetings_at_the_threshold():
     assert met >= 0.98 * 400
 
 
+@pytest.mark.parametrize("shared, size", [(4, 5), (8, 10)])
+def test_recall_of_meetings_of_short_texts(shared, size):
+    """Small sets do not run out of shingles: they share a full path as often as promised."""
+    rng = np.random.default_rng(1)
+    n_runs, met, n = jaccard.runs_needed(0.995), 0, 2000
+    for _ in range(n):
+        x = rng.integers(0, 2**63, size, dtype=np.uint64)
+        a, b = np.unique(x[:shared]), np.unique(x)
+        pa, pb = ({p for p in jaccard.paths(s, 0.8, n_runs) if len(p) == 3} for s in (a, b))
+        met += bool(pa & pb)
+    assert met >= 0.995 * n
+
+
+def test_hot_sets_with_few_shingles(spark, monkeypatch):
+    """A set of one or two shingles in a large node is compared, though it has no child."""
+    monkeypatch.setattr(jaccard, "SMALL", 4)
+    rows = [(0, "a b c d e"), (1, "a b c d e f")]
+    rows += [(2 + i, f"a b c d e x{i}") for i in range(9)] + [(20 + i, f"a b c d e f x{i}") for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted([tuple(r)[:3] for r in jaccard.join(df, threshold=0.5).collect()], key=repr)
+    assert got == brute(rows, 0.5)
+
+
 def test_common_counts():
     rng = np.random.default_rng(0)
     sets = [np.unique(rng.integers(0, 60, 40)).astype(np.uint64) for _ in range(9)] + [np.arange(9000, dtype=np.uint64)]
