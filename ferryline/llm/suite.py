@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferryline.llm import chat, exact_dedup, jaccard, language, neighbours, packing, pieces, pii, secrets, token_counts
+from ferryline.llm import (
+    chat,
+    exact_dedup,
+    jaccard,
+    language,
+    neighbours,
+    packing,
+    pieces,
+    pii,
+    secrets,
+    structure_queries,
+    token_counts,
+)
 from ferryline.llm.common import table
 from ferryline.session import configure
 
@@ -178,6 +190,7 @@ _QUERIES: dict[str, tuple[Query, str | None]] = {
     "op8_sentencepiece": (op8_sentencepiece, None),
     "op9_neighbours": (op9_neighbours, None),
     "op10_token_counts": (op10_token_counts, None),
+    **structure_queries.QUERIES,
 }
 
 
