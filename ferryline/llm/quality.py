@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ferryline.llm.common import filled, slices
 
-# A fit uses at most this many labelled rows, those with the smallest hash of text and label.
+# A fit uses at most this many labels, those with the smallest hash of id and label.
 SAMPLE = 20_000
 BINS, COARSE = 32, 8
 ROUNDS, PAIRS, PAIR_ROUNDS = 200, 8, 100
@@ -230,19 +230,32 @@ def fit(values: np.ndarray, label: np.ndarray) -> Model:
 
 
 def learn(
-    df: DataFrame, text_col: str = "text", label_col: str = "label", sample: int = SAMPLE
+    documents: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "label",
+    sample: int = SAMPLE,
 ) -> Model:
-    """Fit a model to rows with a text and a label (0 or 1; others are left out).
+    """Fit a model to the texts of documents that a label (0 or 1; others are left out) exists for.
 
-    At most ``sample`` rows are used, those with the smallest hash of text and label, so that
-    the choice does not depend on how rows are stored. The driver gets their features only.
-    Null texts are empty; repeated rows count as often as they occur.
+    At most ``sample`` labels are used, those with the smallest hash of id and label, so that
+    the choice does not depend on how rows are stored. It is made before texts are read: the
+    labels chosen are broadcast, and texts are not shuffled. The driver gets features only,
+    again of ``sample`` rows at most if documents repeat. Null texts are empty, repeated rows
+    count as often as they occur, and rows without an id teach nothing.
     """
-    rows = df.select(filled(text_col).alias("text"), F.col(label_col).cast("double").alias("label"))
-    rows = rows.where("label in (0, 1)").withColumn("place", F.xxhash64("text", "label"))
-    measured = rows.mapInArrow(_measure, "place long, label double, features array<double>")
-    chosen = measured.orderBy("place", "label").limit(sample).select("label", "features")
-    found = chosen.toPandas()
+    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("label"))
+    known = known.where("id is not null and label in (0, 1)").withColumn("place", F.xxhash64("id", "label"))
+    n = known.count()
+    if n > sample:
+        # So few lie below this place that choosing among them is cheap.
+        known = known.where(F.col("place") <= int(-(2**63) + 2**64 * (sample / n)))
+    chosen = known.orderBy("place", "id").limit(sample)
+    rows = documents.select(F.col(id_col).alias("id"), filled(text_col).alias("text"))
+    taught = rows.join(F.broadcast(chosen), "id").select("text", "place", "label")
+    measured = taught.mapInArrow(_measure, "place long, label double, features array<double>")
+    found = measured.orderBy("place", "features").limit(sample).select("label", "features").toPandas()
     values = np.array(found["features"].tolist(), float).reshape(len(found), len(FEATURES))
     return fit(values, found["label"].to_numpy(float))
 

@@ -160,8 +160,7 @@ def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chances of a good text; a third of the documents by id teaches nothing."""
     documents, labels = (table(spark, sf_dir, n) for n in ("documents", "labels"))
     third = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
-    taught = documents.where(~third).join(labels.select("doc_id", "quality"), "doc_id")
-    model = quality.learn(taught, label_col="quality")
+    model = quality.learn(documents, labels.where(~third), label_col="quality")
     found = quality.score(documents, model)
     return found.select("doc_id", third.alias("held_out"), "score", "predicted")
 

@@ -82,22 +82,22 @@ def test_held_out_labels_teach_nothing(spark, tmp_path):
 
 
 def test_sample_does_not_depend_on_storage(spark, documents):
-    rows = documents.select("text", (F.col("doc_id") % 2).alias("label"))
-    one = Q.learn(rows.repartition(7), sample=60)
-    two = Q.learn(rows.coalesce(1), sample=60)
+    labels = documents.select("doc_id", (F.col("doc_id") % 2).alias("label"))
+    one = Q.learn(documents.repartition(7), labels.repartition(7), sample=60)
+    two = Q.learn(documents.coalesce(1), labels.coalesce(1), sample=60)
     assert all((a == b).all() for a, b in zip(one.singles, two.singles))
 
 
 def test_odd_rows(spark, odd, nothing):
     labelled = odd.withColumn("label", F.when(F.col("doc_id") < 5, 1).otherwise(0))
-    model = Q.learn(labelled)
+    model = Q.learn(odd, labelled)
     found = Q.score(odd, model).collect()
     assert len(found) == odd.count()
     scores = {(r["doc_id"], r["score"]) for r in found}
     assert len({s for i, s in scores if i in (3, 4)}) == 1  # null and empty
     assert all(0 <= s <= 1 for _, s in scores)
     assert Q.score(nothing, model).collect() == []
-    unknown = Q.learn(nothing.withColumn("label", F.lit(1)))
+    unknown = Q.learn(nothing, nothing.withColumn("label", F.lit(1)))
     assert {r["score"] for r in Q.score(odd, unknown).collect()} == {0.5}
-    one_label = Q.learn(labelled.withColumn("label", F.lit(1)))
+    one_label = Q.learn(odd, labelled.withColumn("label", F.lit(1)))
     assert all(r["score"] > 0.9 for r in Q.score(odd, one_label).collect())
