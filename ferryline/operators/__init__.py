@@ -14,7 +14,11 @@ from ferryline.operators.keyed import (
     batch_counts,
     delete_insert,
     first_row,
+    latest_changes,
     latest_per_key,
+    merge_few,
+    merge_ordered,
+    order_key,
     partition_by_key,
     upsert,
 )
@@ -48,11 +52,15 @@ __all__ = [
     "first_row",
     "is_control_row",
     "key_equals",
+    "latest_changes",
     "latest_per_key",
     "lookup_chain",
     "map_columns",
+    "merge_few",
+    "merge_ordered",
     "new_keys_only",
     "optional_time_range",
+    "order_key",
     "parent_children",
     "partition_by_key",
     "rename_by_position",

@@ -1,22 +1,27 @@
 """Keyed tables on plain Parquet: upsert, delete-and-insert, change replay.
 
-Rows are spread over a fixed number of directories by a hash of the key, so a write
-reads and rewrites only the directories its keys fall into. New directories are written
-beside the old ones, and then one small file says which ones make up the table.
+Rows are spread over a fixed number of directories by a hash of the key, so a write reads
+and rewrites only the directories its keys fall into; Spark's dynamic partition overwrite
+puts them in place. Each row is stored with the order of the change it comes from, and a
+deleted key as a row that says so.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
-
-from ferryline.operators.keyed import latest_per_key
+from pyspark.sql.types import IntegerType, StructField, StructType
+
+from ferryline.operators.keyed import (
+    ORDER,
+    latest_changes,
+    latest_per_key,
+    merge_few,
+    merge_ordered,
+)
 from ferryline.sinks.append import empty_frame
 from ferryline.sinks.paths import Files
 from ferryline.sources.changelog import DELETED
@@ -26,33 +31,18 @@ BUCKET_BYTES = 512 << 20
 # Where Spark cannot tell a size, it assumes a very large one.
 _UNKNOWN = 1 << 54
 
-_BUCKET = "_bucket"
-_NEW = "_new"
-_SLICE = "_slice"
-
-
-@dataclass(frozen=True)
-class Version:
-    """Which write each directory of the table comes from."""
-
-    number: int
-    buckets: int
-    writes: dict[int, str] = field(default_factory=dict)
-
-    def paths(self, data: str) -> set[str]:
-        return {f"{data}/write={w}/{_BUCKET}={b}" for b, w in self.writes.items()}
+# Directories: how many there are, and which one a key falls into.
+_OF, _BUCKET = "_of", "_bucket"
 
 
 @dataclass(frozen=True)
 class KeyedTable:
-    """A table with a key. One writer at a time, any number of readers.
-
-    A write becomes visible as a whole or not at all, on any storage: it moves no data
-    and ends by adding a file. A lost driver leaves the table as it was. The directories
-    a write replaces stay until the write after it, for readers that still use them.
+    """A table with a key, for one writer at a time.
 
-    Of two writers that overlap all the same, such as a stream and its restart, one fails:
-    each writes to a directory of its own, and the file of a version is created only once.
+    A merge is first written in full beside the table and then put in place. If the driver is
+    lost in between, the next write (or ``finish``) puts it in place again before it does
+    anything else, so no stored row is lost. Readers should not overlap the second step; where
+    they must, or where several writers meet, a ``MergeTable`` leaves that to a table format.
 
     ``buckets`` is for a new table; an existing one knows its own. It should put 128 MB
     to 1 GB into one directory at the expected size. None takes it from the size Spark
@@ -65,132 +55,122 @@ class KeyedTable:
     buckets: int | None = DEFAULT_BUCKETS
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return self._stored(spark, self._version(spark)).select(*self.schema.names)
-
-    def upsert(self, changes: DataFrame, sequence: list[str], tie_break: bool = True) -> None:
+        return self.stored(spark).where(~F.col(DELETED)).select(*self.schema.names)
+
+    def stored(self, spark: SparkSession) -> DataFrame:
+        """All rows as stored: the columns, the order, and deleted keys with their mark."""
+        return self._read(spark, self.path).drop(_OF, _BUCKET)
+
+    def upsert(
+        self,
+        changes: DataFrame,
+        sequence: list[str],
+        tie_break: bool = True,
+        across_loads: bool = False,
+    ) -> None:
         """Insert new keys, overwrite known ones; the last change of a key wins.
 
         Without a sequence the keys of ``changes`` are unique already, and nothing is reduced.
+        With ``across_loads`` the sequence also holds against what is stored: a change that is
+        older than the one its key was last changed or deleted by does nothing. Otherwise it
+        orders the changes of this load only, and the load counts over what is stored.
         """
-        self._write(self._latest(changes, sequence, tie_break))
+        self._write(self._latest(changes, sequence, tie_break, across_loads))
 
     def delete_insert(self, rows: DataFrame) -> None:
         """Delete every stored row whose key occurs in ``rows``, then insert ``rows``.
 
         Unlike the other writes this one allows several rows per key.
         """
-        self._write(rows, unique=False)
+        self._write(self._latest(rows, [], True, False), unique=False)
 
     def apply_changes(
-        self, changes: DataFrame, sequence: list[str], tie_break: bool = True
+        self,
+        changes: DataFrame,
+        sequence: list[str],
+        tie_break: bool = True,
+        across_loads: bool = False,
     ) -> None:
-        """Replay decoded changes, including deletes."""
-        self._write(self._latest(changes, sequence, tie_break), deletes=True)
+        """Replay decoded changes, including deletes; see ``upsert``."""
+        self._write(self._latest(changes, sequence, tie_break, across_loads))
 
-    def _latest(self, changes: DataFrame, sequence: list[str], tie_break: bool) -> DataFrame:
-        return latest_per_key(changes, list(self.keys), sequence, tie_break) if sequence else changes
+    def rebucketed(self, spark: SparkSession, path: str, buckets: int, keep_deleted: bool = True) -> KeyedTable:
+        """The same rows in a new table with another number of directories.
 
-    def rebucketed(self, spark: SparkSession, path: str, buckets: int) -> KeyedTable:
-        """The same rows in a new table with another number of directories."""
+        Without ``keep_deleted``, keys that were deleted are forgotten; do so only once no
+        change from before their deletion can come any more.
+        """
         new = KeyedTable(path, self.schema, self.keys, buckets)
-        new.delete_insert(self.read(spark))
+        rows = self.stored(spark)
+        new._write(rows if keep_deleted else rows.where(~F.col(DELETED)), unique=False)
         return new
 
+    def directories(self, spark: SparkSession) -> int | None:
+        """The number of directories that keys are spread over; None before the first write."""
+        names = Files(spark, self.path).directory_names(self.path)
+        found = [n.split("=")[1] for n in names if n.startswith(f"{_OF}=")]
+        return int(found[0]) if found else None
+
     # Writing
 
-    def _write(self, changes: DataFrame, deletes: bool = False, unique: bool = True) -> None:
+    def _latest(self, changes: DataFrame, sequence: list[str], tie_break: bool, ordered: bool) -> DataFrame:
+        keys = list(self.keys)
+        if ordered and sequence:
+            return latest_changes(changes, keys, sequence, tie_break)
+        latest = latest_per_key(changes, keys, sequence, tie_break) if sequence else changes
+        marks = {ORDER: F.lit(None).cast("binary")}
+        if DELETED not in changes.columns:
+            marks[DELETED] = F.lit(False)
+        return latest.withColumns(marks)
+
+    def _write(self, changes: DataFrame, unique: bool = True) -> None:
         spark = changes.sparkSession
-        version = self._version(spark)
-        if not version.buckets:
-            version = replace(version, buckets=_buckets_for(changes))
-        deleted = F.col(DELETED) if deletes else F.lit(False)
-        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(version.buckets)).cast("int")
-        changes = changes.select(*self._conform(), deleted.alias(DELETED)).withColumn(
-            _BUCKET, bucket
-        )
-        if not version.writes:
+        self.finish(spark)
+        known = self.directories(spark)
+        of = known or self.buckets or _buckets_for(changes)
+        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(of)).cast("int")
+        changes = changes.select(*self._conform(), ORDER, DELETED)
+        changes = changes.withColumns({_OF: F.lit(of), _BUCKET: bucket})
+        if not known:
             # Nothing to merge with, so one pass.
-            self._replace(version, self._rows(changes).hint("rebalance", _BUCKET), [])
+            _overwrite(changes.hint("rebalance", _BUCKET), self.path)
             return
-        staged = changes.persist(StorageLevel.MEMORY_AND_DISK)
+        cached = changes.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            # At most ``buckets`` values; this also fills the cache, whose size is then known.
-            touched = [r[0] for r in staged.select(_BUCKET).distinct().collect()]
+            # At most ``of`` values; this also fills the cache, whose size is then known.
+            touched = [r[0] for r in cached.select(_BUCKET).distinct().collect()]
             if touched:
-                self._replace(version, self._merged(version, staged, touched, unique), touched)
+                merged = self._merged(cached, touched, unique)
+                merged.write.mode("overwrite").partitionBy(_OF, _BUCKET).parquet(self._merging)
+                self.finish(spark)
         finally:
-            staged.unpersist()
-
-    def _rows(self, changes: DataFrame) -> DataFrame:
-        return changes.where(~F.col(DELETED)).select(*self.schema.names, _BUCKET)
-
-    def _merged(
-        self, version: Version, staged: DataFrame, touched: list[int], unique: bool
-    ) -> DataFrame:
-        """New content of the touched directories: stored rows of other keys, and the new rows."""
-        spark = staged.sparkSession
-        key = [_BUCKET, *self.keys]
-        changed = staged.select(*key)
-        rows = self._rows(staged)
-        stored = self._stored(spark, version).where(F.col(_BUCKET).isin(touched))
-        if _fits_broadcast(spark, changed):
-            # Few changes: stored rows are filtered where they are read, without a shuffle.
-            kept = stored.join(F.broadcast(changed.distinct()), key, "left_anti")
-            return kept.select(*rows.columns).unionByName(rows.repartition(_BUCKET))
-        if unique:
-            # Many changes: one shuffle brings both sides of a directory together and
-            # leaves them in place for the write. A key has at most two rows here. A
-            # directory is split by key so that few directories still use all cores.
-            tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-            slices = F.pmod(F.hash(*self.keys), F.lit(-(-tasks // len(touched))))
-            both = stored.withColumns({DELETED: F.lit(False), _NEW: F.lit(0)}).unionByName(
-                staged.withColumn(_NEW, F.lit(1))
-            )
-            both = both.withColumn(_SLICE, slices).hint("rebalance", _BUCKET, _SLICE)
-            newest = F.max(_NEW).over(Window.partitionBy(_BUCKET, _SLICE, *self.keys))
-            latest = both.withColumn("_newest", newest)
-            return self._rows(latest.where(F.col(_NEW) == F.col("_newest")))
-        # Many rows per key are possible: a join, as Spark can split a hot key of one.
-        kept = stored.join(changed.distinct(), key, "left_anti")
-        return kept.select(*rows.columns).unionByName(rows).hint("rebalance", _BUCKET)
-
-    def _replace(self, version: Version, merged: DataFrame, touched: list[int]) -> None:
-        """Write new directories, then make them part of the table in place of the touched ones."""
-        name = f"{version.number + 1}-{uuid.uuid4().hex[:12]}"
-        target = f"{self._data}/write={name}"
-        merged.write.mode("error").partitionBy(_BUCKET).parquet(target)
-        files = Files(merged.sparkSession, self.path)
-        number = max(self._numbers(files), default=0) + 1
-        kept = {b: w for b, w in version.writes.items() if b not in touched}
-        written = [int(n.split("=")[1]) for n in files.directory_names(target) if "=" in n]
-        new = Version(number, version.buckets, kept | {b: name for b in written})
-        body = {"buckets": new.buckets, "writes": new.writes}
-        overtaken = self._version(merged.sparkSession).number != version.number
-        path = f"{self._versions}/{number}.json"
-        if overtaken or not files.create_text(path, json.dumps(body)):
-            files.delete(target)
-            raise RuntimeError(f"another writer has changed {self.path}; repeat the write")
-        self._clean(files, version, new)
-
-    def _clean(self, files: Files, before: Version, new: Version) -> None:
-        """Delete what only versions older than the one before this write refer to."""
-        for number in self._numbers(files):
-            if number < before.number:
-                old = self._load(files, number) or Version(number, before.buckets)
-                unused = old.paths(self._data) - before.paths(self._data) - new.paths(self._data)
-                for path in unused:
-                    files.delete(path)
-                files.delete(f"{self._versions}/{number}.json")
-
-    # Layout
+            cached.unpersist()
 
-    @property
-    def _data(self) -> str:
-        return f"{self.path}/data"
+    def _merged(self, changes: DataFrame, touched: list[int], unique: bool) -> DataFrame:
+        """New content of the touched directories. Every one of them has a row."""
+        spark = changes.sparkSession
+        keys = [_BUCKET, *self.keys]
+        stored = self._read(spark, self.path).where(F.col(_BUCKET).isin(touched))
+        few = _fits_broadcast(spark, changes.select(*keys))
+        if not unique:
+            # Many rows per key are possible: a join, as Spark can split a hot key of one.
+            changed = changes.select(*keys).distinct()
+            kept = stored.join(F.broadcast(changed) if few else changed, keys, "left_anti")
+            return kept.select(*changes.columns).unionByName(changes).hint("rebalance", _BUCKET)
+        if few:
+            return merge_few(stored, changes, keys)
+        return merge_ordered(stored, changes, keys).hint("rebalance", _BUCKET)
+
+    def finish(self, spark: SparkSession) -> None:
+        """Put a merge in place that was written in full. Doing so twice changes nothing."""
+        files = Files(spark, self.path)
+        if files.exists(f"{self._merging}/_SUCCESS"):
+            _overwrite(self._read(spark, self._merging), self.path)
+            files.delete(self._merging)
 
     @property
-    def _versions(self) -> str:
-        return f"{self.path}/versions"
+    def _merging(self) -> str:
+        return f"{self.path}_merging"
 
     def _conform(self) -> list[Column]:
         """Columns in the declared types; the hash of the key depends on them. No null keys."""
@@ -202,34 +182,22 @@ class KeyedTable:
             columns.append(column.alias(f.name))
         return columns
 
-    def _version(self, spark: SparkSession) -> Version:
-        files = Files(spark, self.path)
-        for number in sorted(self._numbers(files), reverse=True):
-            if (found := self._load(files, number)) is not None:
-                return found
-        return Version(0, self.buckets or 0)
-
-    def _numbers(self, files: Files) -> list[int]:
-        names = files.file_names(self._versions)
-        return [int(n.split(".")[0]) for n in names if n.endswith(".json")]
-
-    def _load(self, files: Files, number: int) -> Version | None:
-        """A version, or none if its writer was lost before the file was complete."""
-        try:
-            body = json.loads(files.read_text(f"{self._versions}/{number}.json"))
-        except ValueError:
-            return None
-        writes = {int(b): str(w) for b, w in body["writes"].items()}
-        return Version(number, body["buckets"], writes)
-
-    def _stored(self, spark: SparkSession, version: Version) -> DataFrame:
-        layout = [StructField("write", StringType()), StructField(_BUCKET, IntegerType())]
-        schema = StructType([*self.schema, *layout])
-        if not version.writes:
-            return empty_frame(spark, schema).drop("write")
-        paths = sorted(version.paths(self._data))
-        reader = spark.read.schema(schema).option("basePath", self._data)
-        return reader.parquet(*paths).drop("write")
+    def _read(self, spark: SparkSession, path: str) -> DataFrame:
+        schema = StructType([*self.schema]).add(ORDER, "binary").add(DELETED, "boolean")
+        schema = StructType([*schema, StructField(_OF, IntegerType()), StructField(_BUCKET, IntegerType())])
+        if not Files(spark, path).directory_names(path):
+            return empty_frame(spark, schema)
+        return spark.read.schema(schema).parquet(path)
+
+
+def _overwrite(df: DataFrame, path: str) -> None:
+    """Replace the directories that ``df`` has rows for."""
+    (
+        df.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(_OF, _BUCKET)
+        .parquet(path)
+    )
 
 
 def _size(df: DataFrame) -> int:

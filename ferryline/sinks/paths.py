@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -43,26 +42,6 @@ class Files:
         out.close()
         self.rename(part, path)
 
-    def create_text(self, path: str, text: str) -> bool:
-        """Write a small file unless there is one by that name; says whether it was written."""
-        try:
-            out = self._fs.create(self._path(path), False)
-        except Py4JJavaError:
-            if self.exists(path):
-                return False
-            raise
-        out.write(bytearray(text.encode()))
-        out.close()
-        return True
-
-    def read_text(self, path: str) -> str:
-        size = self._fs.getFileStatus(self._path(path)).getLen()
-        stream = self._fs.open(self._path(path))
-        try:
-            return bytes(stream.readNBytes(size)).decode()
-        finally:
-            stream.close()
-
     def partition(self, path: str, column: str, value: object) -> str:
         """The directory Spark uses for one partition value."""
         return f"{path}/{self._utils.getPartitionPathString(column, str(value))}"

@@ -1,6 +1,6 @@
 """Scans: files, messages, change logs and tables."""
 
-from ferryline.sources.changelog import decode_changes
+from ferryline.sources.changelog import decode_changes, snapshot_changes
 from ferryline.sources.files import csv_feed, json_array_files, json_document_files
 from ferryline.sources.messages import (
     decode_arrays,
@@ -36,4 +36,5 @@ __all__ = [
     "point_lookup",
     "read_messages",
     "rejected",
+    "snapshot_changes",
 ]

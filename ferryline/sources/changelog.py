@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -44,3 +44,15 @@ def decode_changes(df: DataFrame, row: StructType, value: str, sequence: list[st
         )
         .select(*sequence, DELETED, "_r.*")
     )
+
+
+def snapshot_changes(rows: DataFrame, position: dict[str, Column]) -> DataFrame:
+    """Rows of a snapshot as changes, placed at the log position they were read at.
+
+    ``position`` gives the columns of the log's sequence. A part of a snapshot that was read
+    while the log stood at a position holds all changes up to it, so its rows count over
+    these and lose to later ones, whichever of the two is written first. Parts of a large
+    snapshot, read one after another, have a position each. A row that was deleted before
+    its part was read is in neither; one deleted later comes with the log.
+    """
+    return rows.select(*[c.alias(n) for n, c in position.items()], F.lit(False).alias(DELETED), "*")

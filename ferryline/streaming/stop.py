@@ -38,7 +38,9 @@ class EndSignal:
             if not batch.where(is_control_row(self._key, self._prefix)).isEmpty():
                 self.seen = True
                 if self._marker is not None:
-                    Files(batch.sparkSession, self._marker).create_text(self._marker, "end")
+                    files = Files(batch.sparkSession, self._marker)
+                    if not files.exists(self._marker):
+                        files.write_text(self._marker, "end")
         finally:
             batch.unpersist()
 

@@ -8,7 +8,8 @@ from pyspark.sql.types import StructField, StructType
 from ferryline import operators as op
 from ferryline.session import new_dir
 from ferryline.sinks import KeyedTable, append, read_table
-from ferryline.sources import decode_changes
+from ferryline.sources import decode_changes, snapshot_changes
+from ferryline.sources.changelog import DELETED
 from ferryline.suite.tables import spread, table
 
 
@@ -103,6 +104,82 @@ def upsert_table(spark, sf_dir):
     return target.read(spark)
 
 
+def late_versions(spark, sf_dir):
+    """As ``upsert_table``, but the second version of an order comes a load before the first."""
+    orders, target = _orders_table(spark, sf_dir, "late-versions")
+    changes = order_changes(orders)
+    for part in (
+        changes.where("version = 2"),
+        orders.withColumn("version", F.lit(0)),
+        changes.where("version = 1"),
+    ):
+        target.upsert(part, ["version"], across_loads=True)
+    return target.read(spark)
+
+
+def late_changes(spark, sf_dir):
+    """Deletes and updates first, then what they change, then older deletes of all orders."""
+    messages, schema = change_messages(spark, sf_dir)
+    changes = decode_changes(messages, schema, "value", ["sequence"])
+    orders, target = _orders_table(spark, sf_dir, "late-changes")
+    older = orders.withColumns({"sequence": F.lit(0), DELETED: F.lit(True)})
+    for part in (changes.where("sequence = 2"), changes.where("sequence = 1"), older):
+        target.apply_changes(part, ["sequence"], across_loads=True)
+    return target.read(spark)
+
+
+def snapshot_handover(spark, sf_dir):
+    """A snapshot read in two parts at different places of a log that is applied around it.
+
+    The log creates all orders (10), makes pending ones cheaper (20), deletes finished ones
+    (30) and makes open ones dearer (40). The parts are read at 15 and 25, and hold what the
+    table held then; part of the log is applied before them, the rest and that part again
+    after them.
+    """
+    orders, target = _orders_table(spark, sf_dir, "handover")
+    status, price = F.col("o_orderstatus"), F.col("o_totalprice")
+
+    def changes(rows, place, deleted=False):
+        return rows.withColumns({"place": F.lit(place), DELETED: F.lit(deleted)})
+
+    pending = orders.where(status == "P").withColumn("o_totalprice", price / 2)
+    dearer = orders.where(status == "O").withColumn("o_totalprice", price + 1)
+    created, cheaper = changes(orders, 10), changes(pending, 20)
+    rest = changes(orders.where(status == "F"), 30, True).unionByName(changes(dearer, 40))
+    half = F.col("o_orderkey") % 2 == 0
+    as_of_25 = orders.where(status != "P").unionByName(pending)
+    parts = [(orders.where(half), 15), (as_of_25.where(~half), 25)]
+    loads = [
+        cheaper,
+        *[snapshot_changes(rows, {"place": F.lit(place)}) for rows, place in parts],
+        created.unionByName(cheaper).unionByName(rest),
+    ]
+    for load in loads:
+        target.apply_changes(load, ["place"], across_loads=True)
+    return target.read(spark)
+
+
+HANDOVER_SQL = """
+    SELECT o_orderkey, o_custkey, o_orderstatus,
+           CASE o_orderstatus WHEN 'P' THEN o_totalprice / 2 ELSE o_totalprice + 1 END AS o_totalprice,
+           o_orderdate, o_orderpriority
+    FROM orders WHERE o_orderstatus <> 'F'
+"""
+
+
+def late_rows_frame(spark, sf_dir):
+    """The ordered merge as frames: a later load of older versions, and few of newer ones."""
+    orders = table(spark, sf_dir, "orders")
+    key = ["o_orderkey"]
+    changes = order_changes(orders)
+    second, first = (
+        op.latest_changes(changes.where(f"version = {v}"), key, ["version"]) for v in (2, 1)
+    )
+    stored = op.latest_changes(orders.withColumn("version", F.lit(0)), key, ["version"])
+    merged = op.merge_ordered(op.merge_ordered(stored, second, key), first, key)
+    return merged.where(~F.col(DELETED)).select(*orders.columns)
+
+
 def upsert_frame(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     return op.upsert(orders, order_changes(orders), ["o_orderkey"], ["version"])
@@ -177,6 +254,8 @@ def first(spark, sf_dir):
 QUERIES = {
     "q08_changelog_apply": (replicate, CHANGES_SQL),
     "q08b_changelog_frame": (replay, CHANGES_SQL),
+    "q08c_late_changes": (late_changes, CHANGES_SQL),
+    "q08d_snapshot_handover": (snapshot_handover, HANDOVER_SQL),
     "q10b_first_row": (
         first,
         "SELECT * FROM lineitem ORDER BY l_shipdate, l_orderkey, l_partkey, l_suppkey, "
@@ -200,6 +279,8 @@ QUERIES = {
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
         """,
     ),
+    "q31d_late_versions": (late_versions, UPSERT_SQL),
+    "q31e_late_versions_frame": (late_rows_frame, UPSERT_SQL),
     "q32_delete_insert": (delete_insert_table, REPLACE_SQL),
     "q32b_delete_insert_frame": (delete_insert_frame, REPLACE_SQL),
 }

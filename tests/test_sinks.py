@@ -18,6 +18,8 @@ from ferryline.sinks import (
     replace_batches,
     route,
 )
+from ferryline.operators import order_key
+from ferryline.sinks import keyed as keyed_sink
 from ferryline.sinks.paths import Files
 from ferryline.sources import TableRef
 from ferryline.sources.changelog import DELETED
@@ -58,10 +60,14 @@ def test_shuffled_merge_gives_the_same(spark, keyed, rows):
 
 
 def test_only_touched_directories_are_rewritten(spark, keyed):
+    def written():
+        return {r["f"] for r in keyed._read(spark, keyed.path).selectExpr("_metadata.file_path AS f").distinct().collect()}
+
     keyed.upsert(frame(spark, *[(i, "old", 0) for i in range(40)]), ["n"])
+    before = written()
     keyed.upsert(frame(spark, (1, "new", 0)), ["n"])
-    writes = sorted(keyed._version(spark).writes.values())
-    assert [w.split("-")[0] for w in writes] == ["1", "1", "1", "2"]
+    assert len(before) == 4 and len(before & written()) == 3
+    assert len({f.rpartition("/")[0] for f in written()}) == 4
 
 
 def test_key_type_does_not_matter(spark, keyed, rows):
@@ -100,46 +106,116 @@ def test_delete_insert_keeps_repeated_keys(spark, keyed, rows):
     assert rows(keyed.read(spark)) == [(1, "a"), (1, "a"), (2, "x"), (2, "y")]
 
 
-def test_driver_lost_before_the_write_was_complete(spark, keyed, rows, monkeypatch):
+def test_driver_lost_before_the_merge_was_written(spark, keyed, rows, monkeypatch):
     keyed.upsert(frame(spark, (1, "old", 0), (5, "old", 0)), ["n"])
-
-    def failing(self, path, text):
-        raise OSError("lost")
-
-    monkeypatch.setattr(Files, "create_text", failing)
-    with pytest.raises(OSError, match="lost"):
-        keyed.upsert(frame(spark, (1, "new", 0), (9, "new", 0)), ["n"])
-    monkeypatch.undo()
+    with pytest.raises(Exception, match="lost"):
+        keyed.upsert(frame(spark, (1, "new", 0), (9, "new", 0)).selectExpr(
+            "k", "IF(k = 9, raise_error('lost'), v) AS v", "n"), ["n"])
     assert rows(keyed.read(spark)) == [(1, "old"), (5, "old")]
     keyed.upsert(frame(spark, (2, "b", 0)), ["n"])
     assert rows(keyed.read(spark)) == [(1, "old"), (2, "b"), (5, "old")]
 
 
-def test_manifest_cut_short_does_not_count(spark, keyed, rows):
-    keyed.upsert(frame(spark, (1, "old", 0)), ["n"])
-    Files(spark, keyed.path).create_text(f"{keyed.path}/versions/2.json", '{"buck')
-    assert rows(keyed.read(spark)) == [(1, "old")]
-    keyed.upsert(frame(spark, (1, "new", 0)), ["n"])
-    assert rows(keyed.read(spark)) == [(1, "new")]
+def test_driver_lost_while_a_merge_was_put_in_place(spark, keyed, rows, monkeypatch):
+    """Directories are gone and not there anew: the next write brings them back."""
+    keyed.upsert(frame(spark, *[(i, "old", 0) for i in range(20)]), ["n"])
 
+    def lost(df, path):
+        files = Files(spark, path)
+        of = files.directory_names(path)[0]
+        for name in files.directory_names(f"{path}/{of}")[:3]:
+            files.delete(f"{path}/{of}/{name}")
+        raise OSError("lost")
 
-def test_of_two_writers_that_overlap_one_fails(spark, keyed, rows, monkeypatch):
-    keyed.upsert(frame(spark, *[(i, "old", 0) for i in range(20)]), ["n"])
-    merged = KeyedTable._merged
-
-    def slow(self, *args):
-        """The other writer is done between this one's reading and its writing."""
-        monkeypatch.undo()
-        keyed.upsert(frame(spark, *[(i, "other", 0) for i in range(15, 25)]), ["n"])
-        return merged(self, *args)
-
-    monkeypatch.setattr(KeyedTable, "_merged", slow)
-    with pytest.raises(RuntimeError, match="another writer"):
-        keyed.upsert(frame(spark, *[(i, "late", 0) for i in range(10)]), ["n"])
-    want = {i: "old" for i in range(15)} | {i: "other" for i in range(15, 25)}
+    monkeypatch.setattr("ferryline.sinks.keyed._overwrite", lost)
+    with pytest.raises(OSError, match="lost"):
+        keyed.upsert(frame(spark, *[(i, "new", 0) for i in range(10)]), ["n"])
+    monkeypatch.undo()
+    assert keyed.read(spark).count() < 20
+    keyed.upsert(frame(spark, (30, "more", 0)), ["n"])
+    want = {i: "new" if i < 10 else "old" for i in range(20)} | {30: "more"}
     assert dict(rows(keyed.read(spark))) == want
-    keyed.upsert(frame(spark, (0, "again", 0)), ["n"])
-    assert dict(rows(keyed.read(spark))) == want | {0: "again"}
+    assert not Files(spark, keyed.path).exists(keyed._merging)
+
+
+CHANGE = f"k BIGINT, v STRING, n INT, {DELETED} BOOLEAN"
+
+
+@pytest.fixture(params=["few", "many"])
+def merging(request, spark):
+    """Both ways of merging: changes sent to all tasks, and all rows shuffled."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, before if request.param == "few" else "-1")
+    yield request.param
+    spark.conf.set(name, before)
+
+
+def test_order_holds_across_loads(spark, keyed, rows, merging):
+    def apply(*changes):
+        keyed.apply_changes(frame(spark, *changes, schema=CHANGE), ["n"], across_loads=True)
+
+    apply((1, "five", 5, False), (2, "b", 5, False), (3, "c", 5, False), (4, "d", 5, False))
+    apply((1, "four", 4, False), (2, None, 4, True), (3, None, 6, True), (4, "again", 5, False))
+    assert rows(keyed.read(spark)) == [(1, "five"), (2, "b"), (4, "again")]
+    apply((3, "older than its delete", 5, False), (3, "older still", 1, False), (9, None, 9, True))
+    assert rows(keyed.read(spark)) == [(1, "five"), (2, "b"), (4, "again")]
+    apply((3, "later", 7, False), (9, "older", 8, False))
+    assert rows(keyed.read(spark)) == [(1, "five"), (2, "b"), (3, "later"), (4, "again")]
+    apply((3, "later", 7, False), (9, "older", 8, False))
+    assert rows(keyed.read(spark)) == [(1, "five"), (2, "b"), (3, "later"), (4, "again")]
+
+
+def test_loads_without_an_order_count_over_what_is_stored(spark, keyed, rows, merging):
+    keyed.upsert(frame(spark, (1, "nine", 9), (2, "nine", 9)), ["n"], across_loads=True)
+    keyed.upsert(frame(spark, (1, "plain", 0)), ["n"])
+    assert rows(keyed.read(spark)) == [(1, "plain"), (2, "nine")]
+    keyed.upsert(frame(spark, (1, "one", 1), (2, "one", 1)), ["n"], across_loads=True)
+    assert rows(keyed.read(spark)) == [(1, "one"), (2, "nine")]
+
+
+def test_random_loads_in_any_order_end_alike(spark, keyed, rows, merging):
+    """The same changes in any order of loads, some of them twice, give the same table."""
+    import random
+
+    rng = random.Random(4)
+    changes = [(k, f"{k}-{n}", n, rng.random() < 0.3) for k in range(40) for n in rng.sample(range(100), 4)]
+    last = {k: max((c for c in changes if c[0] == k), key=lambda c: c[2]) for k in range(40)}
+    rng.shuffle(changes)
+    loads = [changes[i::5] for i in range(5)]
+    for load in [*loads, loads[1], loads[3]]:
+        keyed.apply_changes(frame(spark, *load, schema=CHANGE), ["n"], across_loads=True)
+    assert dict(rows(keyed.read(spark))) == {k: v for k, v, _, deleted in last.values() if not deleted}
+
+
+def test_deleted_keys_can_be_forgotten(spark, keyed, rows, tmp_path):
+    keyed.apply_changes(frame(spark, (1, "a", 1, False), (2, None, 5, True), schema=CHANGE), ["n"], across_loads=True)
+    assert keyed.stored(spark).count() == 2
+    again = keyed.rebucketed(spark, str(tmp_path / "all"), 2)
+    again.upsert(frame(spark, (1, "old", 0), (2, "old", 4)), ["n"], across_loads=True)
+    assert rows(again.read(spark)) == [(1, "a")]
+    short = keyed.rebucketed(spark, str(tmp_path / "short"), 2, keep_deleted=False)
+    short.upsert(frame(spark, (1, "old", 0), (2, "old", 4)), ["n"], across_loads=True)
+    assert rows(short.read(spark)) == [(1, "a"), (2, "old")]
+
+
+def test_order_key_compares_like_its_columns(spark):
+    import random
+
+    rng = random.Random(8)
+    whole = [None, -(2**63), -1, 0, 1, 255, 256, 2**63 - 1]
+    texts = [None, "", "a", "a\x01", "ab", "b", "é"]
+    times = [None, "1969-12-31 23:59:59.999999", "1970-01-01 00:00:00", "2024-05-01 10:00:00.5"]
+    made = [(rng.choice(times), rng.choice(texts), rng.choice(whole)) for _ in range(300)]
+    df = spark.createDataFrame(made, "t STRING, s STRING, n BIGINT").selectExpr(
+        "CAST(t AS TIMESTAMP) AS t", "s", "n", "CAST(t AS TIMESTAMP_NTZ) AS l", "CAST(t AS DATE) AS d")
+    for sequence in (["t", "s", "n"], ["s", "n"], ["n"], ["l", "n"], ["d", "s"]):
+        found = df.select(*sequence, order_key(df.schema, sequence).alias("key")).collect()
+        by_key = sorted(found, key=lambda r: bytes(r["key"]))
+        want = sorted(found, key=lambda r: [(r[c] is not None, r[c] if r[c] is not None else 0) for c in sequence])
+        assert [tuple(r)[:-1] for r in by_key] == [tuple(r)[:-1] for r in want]
+    with pytest.raises(TypeError, match="double"):
+        order_key(spark.range(1).selectExpr("1.5D AS x").schema, ["x"])
 
 
 def test_shuffled_merge_of_repeated_keys(spark, keyed, rows):
@@ -154,24 +230,6 @@ def test_shuffled_merge_of_repeated_keys(spark, keyed, rows):
     assert rows(keyed.read(spark)) == [(0, "old")] * 10 + [(1, "old")] * 10 + [(2, "new")] * 7
 
 
-def test_readers_keep_their_version_during_the_next_write(spark, keyed, rows):
-    keyed.upsert(frame(spark, *[(i, "a", 0) for i in range(20)]), ["n"])
-    before = keyed.read(spark)
-    keyed.upsert(frame(spark, *[(i, "b", 0) for i in range(20)]), ["n"])
-    assert {v for _, v in rows(before)} == {"a"}
-    assert {v for _, v in rows(keyed.read(spark))} == {"b"}
-
-
-def test_replaced_directories_go_away(spark, keyed):
-    for n in range(4):
-        keyed.upsert(frame(spark, *[(i, str(n), 0) for i in range(20)]), ["n"])
-    files = Files(spark, keyed.path)
-    kept = [w for w in files.directory_names(f"{keyed.path}/data")
-            if files.directory_names(f"{keyed.path}/data/{w}")]
-    assert [w.split("-")[0] for w in kept] == ["write=3", "write=4"]
-    assert files.file_names(f"{keyed.path}/versions") == ["3.json", "4.json"]
-
-
 def test_changes_may_come_from_the_table_itself(spark, keyed, rows):
     keyed.upsert(frame(spark, (1, "a", 0), (2, "b", 0)), ["n"])
     again = keyed.read(spark).selectExpr("k + 1 AS k", "upper(v) AS v")
@@ -188,25 +246,24 @@ def test_a_table_knows_its_number_of_buckets(spark, keyed, rows):
 
 def test_small_merges_do_not_shuffle_stored_rows(spark, keyed):
     keyed.upsert(frame(spark, *[(i, "a", 0) for i in range(20)]), ["n"])
-    version = keyed._version(spark)
-    staged = frame(spark, (1, "b", 0)).selectExpr("k", "v", f"false AS {DELETED}", "0 AS _bucket").persist()
-    staged.count()
+    changes = frame(spark, (1, "b", 0)).selectExpr(
+        "k", "v", "CAST(NULL AS BINARY) AS _order", f"false AS {DELETED}", "4 AS _of", "0 AS _bucket").persist()
+    changes.count()
 
     def plan():
-        merged = keyed._merged(version, staged, [0, 1, 2, 3], unique=True)
+        merged = keyed._merged(changes, [0, 1, 2, 3], unique=True)
         return merged._jdf.queryExecution().executedPlan().toString()
 
     small = plan()
-    stored = small[small.index("LeftAnti"):small.index("BroadcastExchange")]
-    assert "FileScan" in stored and "Exchange" not in stored
+    assert "hashpartitioning" not in small and "SortMergeJoin" not in small
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         large = plan()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    assert large.split("InMemoryRelation")[0].count("Exchange hashpartitioning") == 1
-    staged.unpersist()
+    assert "Join" not in large and "Window" in large
+    changes.unpersist()
 
 
 def test_one_key_with_a_third_of_all_changes(spark, keyed, rows):
@@ -273,11 +330,17 @@ def test_merge_needs_a_table_format_with_merge(spark, tmp_path):
     spark.sql(f"CREATE TABLE merged (k BIGINT, v STRING) USING parquet LOCATION '{tmp_path}/m'")
     try:
         target = MergeTable("merged", SCHEMA, ("k",))
+        assert target.read(spark).columns == ["k", "v"]
         with pytest.raises(Exception, match="MERGE"):
             target.upsert(frame(spark, (1, "a", 0)), ["n"])
         marked = frame(spark, (1, "a", 0, True), schema=f"k BIGINT, v STRING, n INT, {DELETED} BOOLEAN")
         with pytest.raises(Exception, match="MERGE"):
             target.apply_changes(marked, ["n"])
+        spark.sql(f"ALTER TABLE merged ADD COLUMNS (_order BINARY, {DELETED} BOOLEAN)")
+        ordered = MergeTable("merged", SCHEMA, ("k",), ordered=True)
+        for write in (ordered.upsert, ordered.apply_changes):
+            with pytest.raises(Exception, match="MERGE"):
+                write(marked, ["n"], across_loads=True)
     finally:
         spark.sql("DROP TABLE merged")
 
@@ -294,9 +357,9 @@ def test_directories_from_the_size_of_the_first_load(spark, tmp_path, rows):
     path = str(tmp_path / "in")
     frame(spark, *[(i, "a", 0) for i in range(20)]).write.parquet(path)
     small.upsert(spark.read.parquet(path), ["n"])
-    assert small._version(spark).buckets == 1
+    assert small.directories(spark) == 1
     wide = small.rebucketed(spark, str(tmp_path / "wide"), 8)
-    assert wide._version(spark).buckets == 8
+    assert wide.directories(spark) == 8
     assert rows(wide.read(spark)) == rows(small.read(spark))
 
 
@@ -304,13 +367,13 @@ def test_copies_under_a_declared_key_are_not_reduced(spark, tmp_path, monkeypatc
     """A first copy is one pass: no window over the key, no shuffle but that of the write."""
     spark.range(100).write.parquet(str(tmp_path / "in"))
     plans = []
-    real = KeyedTable._replace
+    real = keyed_sink._overwrite
 
-    def seen(self, version, merged, touched):
-        plans.append(merged._jdf.queryExecution().optimizedPlan().toString())
-        return real(self, version, merged, touched)
+    def seen(df, path):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return real(df, path)
 
-    monkeypatch.setattr(KeyedTable, "_replace", seen)
+    monkeypatch.setattr(keyed_sink, "_overwrite", seen)
     source = TableRef("parquet", str(tmp_path / "in"), keys=("id",))
     assert copy_table(spark, source, str(tmp_path / "out")).count() == 100
     assert "Window" not in plans[0] and "Sort" not in plans[0]

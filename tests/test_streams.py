@@ -74,11 +74,11 @@ def test_load_names_belong_to_a_stream(spark):
 def test_keyed_feed_over_two_runs(spark, tmp_path, rows):
     spec = FEEDS["F48"]
     source, base, check = (str(tmp_path / n) for n in ("in", "out", "check"))
-    for values in (
+    for run, values in enumerate((
         ('{"id":"1","batch_number":"a"}', '{"id":"2","batch_number":"b"}', '{"id":"1","batch_number":"c"}'),
         ('{"id":"2","batch_number":null}', '{"id":"3","batch_number":"d"}'),
-    ):
-        send(spark, source, *values)
+    )):
+        send(spark, source, *values, start=10 * run)
         query, signal = load_stream(file_stream(spark, source, MESSAGES), spec, base, check, 5)
         assert signal is None
         query.awaitTermination()
@@ -130,6 +130,16 @@ def test_time_orders_versions_over_partitions(spark, tmp_path, rows):
     assert rows(keyed_table(spec, base, 16).read(spark)) == [("1", "new", 5)]
 
 
+def test_an_older_message_in_a_later_run_does_nothing(spark, tmp_path, rows):
+    spec = FEEDS["F48"]
+    source, base, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    for day, value in ((20, "new"), (2, "old"), (21, "last"), (20, "new")):
+        send(spark, source, f'{{"id":"1","batch_number":"{value}"}}', day=day)
+        query, _ = load_stream(file_stream(spark, source, MESSAGES), spec, base, check, 5)
+        query.awaitTermination()
+    assert rows(keyed_table(spec, base, 16).read(spark)) == [("1", "last", 5)]
+
+
 def test_end_rows_have_no_key(spark, tmp_path, rows):
     """As a producer sends them: dropped by a run-once feed, set apart by a scheduled one."""
     spec = FEEDS["F49"]
