@@ -74,24 +74,35 @@ def _runs(rows: DataFrame, carried: list[str]) -> DataFrame:
 
 
 def _merged(runs: DataFrame) -> DataFrame:
-    """Runs of one text at the edges of partitions become one group."""
-    heads = runs.where("run is not null and place = 0").select("run", "norm", "first", "size")
+    """Runs of one text at the edges of partitions become one group.
+
+    Only the rows of such runs are joined, by their run; all others stay where they lie.
+    """
+    inside, at_edge = runs.where("run is null"), runs.where("run is not null")
+    heads = at_edge.where("place = 0").select("run", "norm", "first", "size")
     whole = heads.groupBy("norm").agg(
         F.min("first").alias("whole_first"),
         F.sum("size").alias("whole_size"),
         F.min("run").alias("first_run"),
     )
     edges = heads.join(whole, "norm").select("run", "whole_first", "whole_size", "first_run")
-    known = runs.drop("norm").join(edges, "run", "left")
-    return known.select(
-        *[c for c in runs.columns if c not in ("digest", "norm")],
-        F.coalesce("whole_first", "first").alias("keep_id"),
-        F.coalesce("whole_size", "size").alias("group_size"),
-        ((F.col("place") == 0) & (F.coalesce("first_run", "run").eqNullSafe(F.col("run")))).alias(
-            "kept"
-        ),
-        F.lower(F.hex("digest")).alias("text_sha256"),
-    )
+    own = {
+        "keep_id": F.col("first"),
+        "group_size": F.col("size"),
+        "kept": F.col("place") == 0,
+    }
+    shared = {
+        "keep_id": F.col("whole_first"),
+        "group_size": F.col("whole_size"),
+        "kept": (F.col("place") == 0) & (F.col("first_run") == F.col("run")),
+    }
+    columns = [c for c in runs.columns if c not in ("digest", "norm")]
+    digest = F.lower(F.hex("digest")).alias("text_sha256")
+
+    def of(rows: DataFrame, made: dict[str, Column]) -> DataFrame:
+        return rows.select(*columns, *[c.alias(n) for n, c in made.items()], digest)
+
+    return of(inside, own).unionByName(of(at_edge.join(edges, "run"), shared))
 
 
 def _compare(carried: list[str]) -> Callable:

@@ -1,6 +1,8 @@
 import re
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from ferryline.llm import exact_dedup
 
 
@@ -60,3 +62,28 @@ def test_copies_over_many_partitions(spark):
 def test_empty(nothing):
     assert exact_dedup.groups(nothing).count() == 0
     assert exact_dedup.deduplicated(nothing).count() == 0
+
+
+def test_inner_rows_stay_where_they_lie(spark):
+    """Without broadcasts, no task gets the rows whose text is of one partition."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.range(8000).selectExpr("id as doc_id", "concat('text ', id % 7000) as text")
+        for made in (exact_dedup.groups(df), exact_dedup.deduplicated(df)):
+            sizes = [r["count"] for r in made.groupBy(F.spark_partition_id()).count().collect()]
+            assert max(sizes) <= 3 * 8000 / 16, sorted(sizes)[-3:]
+            plan = made._jdf.queryExecution().executedPlan().toString()
+            scans = [line for line in plan.splitlines() if "PushedFilters" in line]
+            assert any("IsNull(run)" in line for line in scans)
+            assert all("IsNull(run)" in line or "IsNotNull(run)" in line for line in scans)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
