@@ -2,6 +2,7 @@
 
 from ferryline.sources.changelog import decode_changes, snapshot_changes
 from ferryline.sources.files import csv_feed, json_array_files, json_document_files
+from ferryline.sources.json_arrays import json_array_splits
 from ferryline.sources.messages import (
     decode_arrays,
     decode_envelopes,
@@ -29,6 +30,7 @@ __all__ = [
     "decode_xml",
     "jdbc_options",
     "json_array_files",
+    "json_array_splits",
     "json_document_files",
     "kafka_options",
     "loaded_keys",

@@ -18,6 +18,7 @@ from ferryline.sources import (
     decode_objects,
     decode_xml,
     json_array_files,
+    json_array_splits,
     json_document_files,
     point_lookup,
 )
@@ -39,6 +40,38 @@ def json_arrays(spark, sf_dir):
     return json_array_files(spark, path, part.schema).select(*part.columns)
 
 
+def json_array_layouts(spark, sf_dir):
+    """Pretty-printed arrays and arrays on a single line, read in splits.
+
+    Notes hold brackets, braces, quotes and backslashes; every seventh element is null.
+    """
+    customer = table(spark, sf_dir, "customer")
+    odd = F.concat(F.lit('}], [{"x": "'), F.col("c_mktsegment"), F.lit('\\\\" \n\t\\'))
+    nested = F.struct("c_acctbal", F.array("c_nationkey").alias("nations"), odd.alias("note"))
+    records = customer.select("c_custkey", "c_name", nested.alias("more"))
+    base = new_dir(spark, "json-layouts")
+    for name, options, between, rest in (("pretty", {"pretty": "true"}, ",\n", 0), ("line", {}, ",", 1)):
+        text = F.to_json(F.struct(*records.columns), options)
+        text = F.when(F.col("c_custkey") % 7 == 0, F.concat(F.lit("null, "), text)).otherwise(text)
+        rows = records.where(F.col("c_custkey") % 2 == rest).select("c_custkey", text.alias("text"))
+        packed = blocks(rows, "c_custkey", 20_000)
+        whole = F.array_join(F.transform("records", lambda r: r["text"]), between)
+        values = packed.select("block", F.concat(F.lit("["), whole, F.lit(f"{between[1:]}]")).alias("value"))
+        write_texts(values, f"{base}/{name}")
+    pretty, line = (json_array_splits(spark, f"{base}/{n}", records.schema) for n in ("pretty", "line"))
+    found = pretty.unionByName(line)
+    return found.select(
+        "c_custkey", "c_name", "more.c_acctbal", F.col("more.nations")[0].alias("c_nationkey"), "more.note"
+    )
+
+
+JSON_LAYOUTS_SQL = """
+    SELECT c_custkey, c_name, c_acctbal, c_nationkey,
+           '}], [{"x": "' || c_mktsegment || chr(92) || chr(92) || '" ' || chr(10) || chr(9) || chr(92) AS note
+    FROM customer
+"""
+
+
 def json_documents(spark, sf_dir):
     supplier = table(spark, sf_dir, "supplier")
     packed = blocks(supplier, "s_suppkey", 1000, name="suppliers")
@@ -156,6 +189,7 @@ def epoch_round_trip(spark, sf_dir):
 QUERIES = {
     "q01_csv_feed": (csv_round_trip, "SELECT * FROM customer"),
     "q02_json_array_file": (json_arrays, "SELECT * FROM part"),
+    "q02b_json_array_splits": (json_array_layouts, JSON_LAYOUTS_SQL),
     "q03_json_doc_file": (
         json_documents,
         "SELECT s_suppkey // 1000 AS id, * FROM supplier",
