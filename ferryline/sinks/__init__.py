@@ -8,6 +8,7 @@ from ferryline.sinks.append import (
     replace_batch,
     replace_batches,
 )
+from ferryline.sinks.compact import compact_loads, read_landed
 from ferryline.sinks.copy import copy_table, copy_tables
 from ferryline.sinks.fanout import Child, fan_out, route
 from ferryline.sinks.jdbc import jdbc_append, jdbc_types, jdbc_upsert_statement
@@ -21,6 +22,7 @@ __all__ = [
     "MergeTable",
     "append",
     "append_once",
+    "compact_loads",
     "copy_table",
     "copy_tables",
     "create_if_absent",
@@ -32,6 +34,7 @@ __all__ = [
     "jdbc_types",
     "jdbc_upsert_statement",
     "publish",
+    "read_landed",
     "read_table",
     "replace_batch",
     "replace_batches",

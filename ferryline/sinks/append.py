@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ferryline.sinks.loads import is_compacted
 from ferryline.sinks.paths import Files
 
 
@@ -49,8 +50,9 @@ def replace_batch(
     """Make ``df`` the whole content of one batch.
 
     Only the directory of the batch is written, other batches are not read. The new
-    files replace the old ones when the job commits, so a failed load leaves the old
-    batch in place and loading a batch twice equals loading it once.
+    files replace the old ones when the job commits, so a load that fails before leaves the
+    old batch in place, and loading a batch twice equals loading it once. The commit itself
+    deletes and then renames: if the driver is lost in it, load the batch again.
     """
     files = Files(df.sparkSession, path)
     stored = files.partition(path, column, batch)
@@ -83,7 +85,12 @@ def replace_batches(
 
 
 def append_once(df: DataFrame, path: str, load_id: object, column: str = "load_id") -> None:
-    """Append that can be repeated: the load is a batch, and a replay replaces it."""
+    """Append that can be repeated: the load is a batch, and a replay replaces it.
+
+    A load that has become part of a compacted one (``compact_loads``) is there already.
+    """
+    if is_compacted(Files(df.sparkSession, path), path, load_id):
+        return
     kind = "bigint" if isinstance(load_id, int) else "string"
     replace_batch(df, path, load_id, column, kind)
 

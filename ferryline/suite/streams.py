@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import time
 
 from pyspark.sql import functions as F
 
@@ -10,8 +11,24 @@ from ferryline.feeds import feed
 from ferryline.plans import load_stream
 from ferryline.plans.run import keyed_table
 from ferryline.session import new_dir
-from ferryline.sinks import append_once, encode_messages, end_message, read_table
-from ferryline.streaming import EndSignal, file_stream, land, run_until_end, with_event_time
+from ferryline.sinks import (
+    append_once,
+    compact_loads,
+    encode_messages,
+    end_message,
+    read_landed,
+    read_table,
+)
+from ferryline.streaming import (
+    EndSignal,
+    close_after_end,
+    file_stream,
+    land,
+    load_name,
+    once,
+    run_until_end,
+    with_event_time,
+)
 from ferryline.suite.derived import records, sql_columns
 from ferryline.suite.feeds import IMPORT_ID, PLAN_SQL, plan_documents, plan_rows
 from ferryline.suite.tables import blocks, spread, table
@@ -47,6 +64,71 @@ def stopped(spark, sf_dir):
     return read_table(spark, f"{base}/out", events.schema)
 
 
+def closed_by_key(spark, sf_dir):
+    """Events by type; two types have an end row and close, each by its own timer."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    base = new_dir(spark, "close")
+    ends = spark.createDataFrame([(-1, "error"), (-1, "view")], events.schema)
+    events.unionByName(ends).write.parquet(f"{base}/in")
+    stream = file_stream(spark, f"{base}/in", events.schema)
+    closing = close_after_end(stream, "event_type", F.col("event_id") == -1, grace_seconds=1)
+    query = land(
+        closing, lambda rows, batch_id: append_once(rows, f"{base}/out", batch_id),
+        f"{base}/check", "SCHEDULED", "0 seconds",
+    )
+    closed = F.count_if(F.col("state") == "closed")
+    last = time.monotonic() + 300
+    try:
+        # Timers fire after the micro-batch that takes the rows, so an output of it is there.
+        while not query.awaitTermination(1):
+            if query.lastProgress and query.lastProgress.batchId > 1:
+                found = read_table(spark, f"{base}/out", closing.schema)
+                if found.agg(closed).first()[0] == 2 or time.monotonic() > last:
+                    break
+    finally:
+        query.stop()
+    counts = read_table(spark, f"{base}/out", closing.schema).groupBy("event_type")
+    return counts.agg(F.count_if(F.col("state") == "open").alias("n_rows"), (closed > 0).alias("closed"))
+
+
+def repeated(spark, sf_dir):
+    """Every event, then a third of them again, then a fifth; each is stored once."""
+    events = spread(spark, sf_dir, "events")
+    base = new_dir(spark, "once")
+    for part in (events, events.where("event_id % 3 = 0"), events.where("event_id % 5 = 0")):
+        part.write.mode("append").parquet(f"{base}/in")
+        stream = once(file_stream(spark, f"{base}/in", events.schema), ["event_id"], "ts", "10 minutes")
+        stream = stream.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+        land(
+            stream, lambda rows, batch_id: append_once(rows, f"{base}/out", batch_id), f"{base}/check"
+        ).awaitTermination()
+    return read_table(spark, f"{base}/out", events.schema)
+
+
+def compacted(spark, sf_dir):
+    """Events landed in many micro-batches, compacted twice on the way, the last one repeated."""
+    events = spread(spark, sf_dir, "events")
+    base = new_dir(spark, "compact")
+    out = f"{base}/out"
+    seen = {}
+
+    def write(rows, batch_id):
+        seen["last"] = load_name(rows, batch_id)
+        append_once(rows, out, seen["last"])
+
+    events.repartition(12).write.parquet(f"{base}/in")
+    stream = file_stream(spark, f"{base}/in", events.schema, files_per_batch=2)
+    land(stream, write, f"{base}/check").awaitTermination()
+    compact_loads(spark, out, events.schema, ["ts"])
+    events.where("event_id < 0").write.mode("append").parquet(f"{base}/in")
+    land(stream, write, f"{base}/check").awaitTermination()
+    compact_loads(spark, out, events.schema, ["ts"])
+    # As after a failure: a load that is compacted by now, with rows that it must not add.
+    query = seen["last"].rpartition("-")[0]
+    append_once(events.limit(10), out, f"{query}-0")
+    return read_landed(spark, out, events.schema)
+
+
 def run_feed(spark, spec, sends, base, end=None):
     """Send messages to a folder and land them, one run of the feed per send.
 
@@ -177,6 +259,13 @@ def plan_stream(spark, sf_dir):
 QUERIES = {
     "q40_stream_land": (landed, "SELECT * FROM events"),
     "q40b_stream_stop": (stopped, "SELECT event_id, event_type FROM events"),
+    "q40c_closed_by_key": (
+        closed_by_key,
+        "SELECT event_type, count(*) AS n_rows, event_type IN ('error', 'view') AS closed "
+        "FROM events GROUP BY event_type",
+    ),
+    "q40d_repeated_messages": (repeated, "SELECT * FROM events"),
+    "q41b_compacted_loads": (compacted, "SELECT * FROM events"),
     "f44_eeg_emg": sensor_feed_query("F44"),
     "f45_eye_tracking": sensor_feed_query("F45"),
     "f46_joint_posture": sensor_feed_query("F46"),

@@ -1,0 +1,93 @@
+"""Compaction of landed loads."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from ferryline.sinks import append_once, compact_loads, read_landed
+from ferryline.sinks import compact as sink
+from ferryline.sinks.paths import Files
+
+SCHEMA = "v BIGINT, at BIGINT"
+
+
+def land(spark, path, query, numbers, rows=5):
+    for n in numbers:
+        df = spark.range(rows).select((F.col("id") + 100 * n).alias("v"), (F.col("id") * 7 % 5).alias("at"))
+        append_once(df, path, f"{query}-{n}")
+
+
+@pytest.fixture
+def schema(spark):
+    return spark.createDataFrame([], SCHEMA).schema
+
+
+def values(spark, path, schema):
+    return sorted(r["v"] for r in read_landed(spark, path, schema).collect())
+
+
+def want(numbers, rows=5):
+    return sorted(100 * n + i for n in numbers for i in range(rows))
+
+
+def names(spark, path):
+    return Files(spark, path).directory_names(path)
+
+
+def test_closed_loads_become_one(spark, tmp_path, schema):
+    path = str(tmp_path / "t")
+    assert read_landed(spark, path, schema).collect() == []
+    land(spark, path, "q", range(12))
+    land(spark, path, "import-1", [0])
+    append_once(spark.createDataFrame([(9999, 0)], SCHEMA), path, "by-hand")
+    assert compact_loads(spark, path, schema, ["at"]) == {"q": 10}
+    assert names(spark, path) == ["load_id=by-hand", "load_id=import-1-0", "load_id=q-11", "load_id=q-through-10"]
+    assert values(spark, path, schema) == sorted([*want(range(12)), *want([0]), 9999])
+    land(spark, path, "q", range(12, 15))
+    assert compact_loads(spark, path, schema) == {"q": 13}
+    assert names(spark, path)[-2:] == ["load_id=q-14", "load_id=q-through-13"]
+    assert values(spark, path, schema) == sorted([*want(range(15)), *want([0]), 9999])
+    assert compact_loads(spark, path, schema) == {"q": 13}
+
+
+def test_a_repeated_load_changes_nothing(spark, tmp_path, schema):
+    path = str(tmp_path / "t")
+    land(spark, path, "q", range(4))
+    compact_loads(spark, path, schema)
+    land(spark, path, "q", [1], rows=3)  # compacted: left alone
+    land(spark, path, "q", [3], rows=2)  # open: replaced
+    assert values(spark, path, schema) == sorted([*want(range(3)), *want([3], 2)])
+    land(spark, path, "other", [1], rows=1)  # another query has numbers of its own
+    assert values(spark, path, schema) == sorted([*want(range(3)), *want([3], 2), *want([1], 1)])
+
+
+def test_cut_off_at_any_step(spark, tmp_path, schema, monkeypatch):
+    path = str(tmp_path / "t")
+    land(spark, path, "q", range(5))
+    # Before Spark has committed the new load: it does not count.
+    spark.createDataFrame([(1, 1)], SCHEMA).write.parquet(f"{path}/load_id=q-through-3")
+    Files(spark, path).delete(f"{path}/load_id=q-through-3/_SUCCESS")
+    assert values(spark, path, schema) == want(range(5))
+    # After that, before the old loads are deleted: they do not count.
+    deleted = []
+    monkeypatch.setattr(sink.Files, "delete", lambda self, p: deleted.append(p))
+    compact_loads(spark, path, schema)
+    monkeypatch.undo()
+    assert len(deleted) == 4 and len(names(spark, path)) == 6
+    assert values(spark, path, schema) == want(range(5))
+    compact_loads(spark, path, schema)
+    assert names(spark, path) == ["load_id=q-4", "load_id=q-through-3"]
+    assert values(spark, path, schema) == want(range(5))
+
+
+def test_rows_are_laid_out_in_order(spark, tmp_path, schema):
+    path = str(tmp_path / "t")
+    land(spark, path, "q", range(3), rows=200)
+    compact_loads(spark, path, schema, ["v"])
+    files = spark.read.parquet(f"{path}/load_id=q-through-1").groupBy("_metadata.file_path")
+    ranges = sorted((r["low"], r["high"]) for r in files.agg(F.min("v").alias("low"), F.max("v").alias("high")).collect())
+    assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+def test_the_newest_load_stays_open(spark, tmp_path, schema):
+    with pytest.raises(ValueError):
+        compact_loads(spark, str(tmp_path), schema, open_loads=0)
