@@ -8,7 +8,7 @@ that meet in a small node are compared there; a larger node is split by its chil
 run finds a similar pair with a known chance, so runs are repeated until the target recall
 is reached: their number follows from the threshold, the depth and the target.
 
-Sets that meet are compared on short sketches first. Those that may be similar form
+Sets that meet are compared on short sketches first, in blocks where a node stays large. Those that may be similar form
 groups, and in each group every pair of different sets is compared exactly, in blocks. So
 no pair is written out: what leaves a block is each set's number of links, and a few edges
 that hold its part of the group together.
@@ -25,6 +25,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +38,8 @@ DEPTH = 3
 SMALL = 48
 # Sets of one side of a block of comparisons.
 BLOCK = 256
+# The same where sketches are compared.
+SKETCH_BLOCK = 1024
 SKETCH = 64
 # A similar pair agrees on fewer places of its sketch once in some 30,000 cases.
 _MARGIN = 4.0
@@ -45,7 +48,7 @@ _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _S = np.uint64(29)
 
 SETS = (
-    "doc_id long, text_hash long, key binary, size int, sketch binary, "
+    "row long, doc_id long, text_hash long, key binary, size int, sketch binary, "
     "paths array<struct<h1:long,h2:long,h3:long>>"
 )
 
@@ -77,9 +80,11 @@ def join(
     Words are lower-cased and divided by ASCII white space. A text with fewer words than a
     shingle has one shingle of them all. ``links`` is the number of other rows whose
     similarity is at least the threshold, copies included; groups are connected by links;
-    ``class_id`` is the smallest id of the group, and the first row with it is ``kept``.
+    ``class_id`` is the smallest id of the group, and one row with it is ``kept``, the first by
+    text hash.
     Null texts and texts without words have no shingles: no links, a class of their own.
-    A row without an id takes no part: no class, no links, kept. Repeated rows are copies.
+    A row without an id takes no part: no class, no links, kept. Repeated rows are copies, of
+    which one is kept.
     ``text_hash`` (xxhash64 of the text) tells rows with one id apart. An empty table gives
     no rows.
     """
@@ -115,18 +120,20 @@ def join(
     )
     least = known.groupBy("root").agg(F.min("rep").alias("class_id"))
     known = known.join(least, "root").select(
-        "key", "class_id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("links")
+        "key", "root", "class_id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("links")
     )
-    out = sets.select("doc_id", "text_hash", "key", "size").join(known, "key", "left")
-    alone = F.col("size") == 0
-    out = out.select(
+    # Of the rows with a class's id one stays: the first by text hash, and of repeated rows any.
+    first = sets.join(known.select("key", "root", "class_id"), "key").where("doc_id = class_id")
+    first = first.groupBy("root").agg(F.min(F.struct("text_hash", "row"))["row"].alias("row"))
+    out = sets.select("row", "doc_id", "text_hash", "key", "size").join(known, "key", "left")
+    out = out.join(first.select("row", F.lit(True).alias("first")), "row", "left")
+    part = F.col("doc_id").isNotNull() & (F.col("size") > 0)
+    return out.select(
         "doc_id",
-        F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.when(alone, 0).otherwise(F.coalesce("links", F.lit(0))).cast("long").alias("links"),
+        F.when(part, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
+        F.when(part, F.coalesce("links", F.lit(0))).otherwise(0).cast("long").alias("links"),
         "text_hash",
-    )
-    return out.withColumn(
-        "kept", F.col("doc_id").isNull() | F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True))
+        (~part | F.coalesce("first", F.lit(False))).alias("kept"),
     )
 
 
@@ -160,10 +167,12 @@ def _meetings(classes: DataFrame, threshold: float) -> DataFrame:
     for more in stopped[1:]:
         nodes = nodes.unionByName(more)
     nodes = staged(nodes, "nodes")
-    # All sets of a large node at full depth share several sampled shingles: one group.
-    large = nodes.where("not small")
-    least = large.groupBy("node").agg(F.min("key").alias("b"))
-    tied = large.join(least, "node").select(F.col("key").alias("a"), "b")
+    large = nodes.where("not small").select("node", "key").join(
+        classes.select("key", "size", "sketch"), "key"
+    )
+    tied = _dealt(large, "node", SKETCH_BLOCK, ["size", "sketch"]).mapInArrow(
+        _near(threshold), "a binary, b binary"
+    )
     small = nodes.where("small").select("node", "key").join(
         classes.select("key", "size", "sketch"), "key"
     )
@@ -175,6 +184,26 @@ def _meetings(classes: DataFrame, threshold: float) -> DataFrame:
     return met
 
 
+def _dealt(rows: DataFrame, group: str, block_rows: int, columns: list[str]) -> DataFrame:
+    """Each pair of blocks of a group's rows (by key) as a tile; tiles spread evenly over tasks."""
+    sizes = rows.groupBy(group).agg(F.count("*").alias("n"))
+    blocks = F.ceil(F.col("n") / block_rows).cast("int")
+    placed = rows.join(sizes, group).withColumn("blocks", blocks)
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    tiles = placed.select(
+        group,
+        F.least("block", "other").alias("i"),
+        F.greatest("block", "other").alias("j"),
+        "block",
+        "key",
+        *columns,
+    )
+    # By ranges, not by hash: Spark samples where the rows are, so tiles do not pile up.
+    order = [group, "i", "j"]
+    return tiles.repartitionByRange(*order).sortWithinPartitions(*order, "key")
+
+
 def _checked(
     rows: DataFrame, classes: DataFrame, groups: DataFrame, threshold: float, words: int
 ) -> DataFrame:
@@ -182,33 +211,17 @@ def _checked(
 
     A large group is cut into blocks, and each pair of blocks is a task of its own.
     """
-    sizes = groups.groupBy("root").agg(F.count("*").alias("n"))
-    members = (
-        groups.join(sizes, "root")
-        .withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        .select(F.col("node").alias("key"), "root", "blocks", "block")
-    )
+    members = groups.select(F.col("node").alias("key"), "root")
     chosen = members.join(classes.select("key", "rep", "weight"), "key")
     # One text for each set; a row with the same id but another set is left out inside.
     texts = chosen.join(rows.select(F.col("doc_id").alias("rep"), "text"), "rep")
     shingled = staged(
-        texts.select("key", "root", "blocks", "block", "weight", "text").mapInArrow(
-            _shingled(words), "key binary, root binary, blocks int, block int, weight long, shingles binary"
+        texts.select("key", "root", "weight", "text").mapInArrow(
+            _shingled(words), "key binary, root binary, weight long, shingles binary"
         ).dropDuplicates(["key"]),
         "shingles",
     )
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    tiles = shingled.withColumn("other", other).select(
-        "root",
-        F.least("block", "other").alias("i"),
-        F.greatest("block", "other").alias("j"),
-        "block",
-        "key",
-        "weight",
-        "shingles",
-    )
-    dealt = tiles.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j", "key")
+    dealt = _dealt(shingled, "root", BLOCK, ["weight", "shingles"])
     return dealt.mapInArrow(_tiles(threshold), "key binary, links long, other binary")
 
 
@@ -290,6 +303,7 @@ def _sets(words: int, threshold: float, n_runs: int) -> Callable:
     path = pa.struct([("h1", pa.int64()), ("h2", pa.int64()), ("h3", pa.int64())])
     schema = pa.schema(
         [
+            ("row", pa.int64()),
             ("doc_id", pa.int64()),
             ("text_hash", pa.int64()),
             ("key", pa.binary()),
@@ -300,6 +314,7 @@ def _sets(words: int, threshold: float, n_runs: int) -> Callable:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 36
         for batch in slices(batches):
             keys, sizes, sketches, stops, levels = [], [], [], [0], []
             for text in batch["text"]:
@@ -315,6 +330,7 @@ def _sets(words: int, threshold: float, n_runs: int) -> Callable:
                 [pa.array(c, pa.int64()) for c in columns], fields=list(path)
             )
             arrays = [
+                pa.array(np.arange(row, row + batch.num_rows)),
                 batch["doc_id"],
                 batch["text_hash"],
                 pa.array(keys, pa.binary()),
@@ -322,6 +338,7 @@ def _sets(words: int, threshold: float, n_runs: int) -> Callable:
                 pa.array(sketches, pa.binary()),
                 pa.ListArray.from_arrays(pa.array(stops, pa.int32()), nested),
             ]
+            row += batch.num_rows
             yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     return run
@@ -393,9 +410,57 @@ def _group_starts(table: pa.Table, keys: list[str]) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _compare(threshold: float) -> Callable:
+def _agreement(threshold: float) -> int:
+    """Places of its sketch that a similar pair agrees on, with next to no exception."""
     spread = math.sqrt(threshold * (1 - threshold) / SKETCH)
-    least = math.floor(SKETCH * (threshold - _MARGIN * spread))
+    return math.floor(SKETCH * (threshold - _MARGIN * spread))
+
+
+def near_pairs(marks: np.ndarray, size: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that join all rows whose sketches say that they may be similar.
+
+    Rows near the first one are joined through it. Only the others are compared with all: so
+    a group of near copies costs its size, and a group of unlike texts its pairs.
+    """
+    least = _agreement(threshold)
+
+    def near(i: int) -> np.ndarray:
+        fits = np.minimum(size, size[i]) >= threshold * np.maximum(size, size[i]) - 1e-9
+        at = np.flatnonzero(fits)
+        return at[(marks[at] == marks[i]).sum(axis=1) >= least]
+
+    first = near(0)
+    rest = np.setdiff1d(np.arange(1, len(size)), first)
+    left, right = [np.zeros(len(first), np.int64)], [first]
+    for i in rest:
+        found = near(i)
+        left.append(np.full(len(found), i))
+        right.append(found)
+    return np.concatenate(left), np.concatenate(right)
+
+
+def _near(threshold: float) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole(batches, ["node", "i", "j"], 1):
+            starts = _group_starts(table, ["node", "i", "j"])
+            size = table["size"].to_numpy().astype(float)
+            keys = np.array(table["key"].to_pylist(), object)
+            raw = b"".join(table["sketch"].to_pylist())
+            marks = np.frombuffer(raw, np.uint8).reshape(len(keys), SKETCH)
+            a, b = [], []
+            for low, high in zip(starts, [*starts[1:], len(keys)]):
+                label = labels(high - low, *near_pairs(marks[low:high], size[low:high], threshold))
+                tied = np.flatnonzero(label != np.arange(high - low))
+                a += keys[low + tied].tolist()
+                b += keys[low + label[tied]].tolist()
+            columns = [pa.array(a, pa.binary()), pa.array(b, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
+
+    return run
+
+
+def _compare(threshold: float) -> Callable:
+    least = _agreement(threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole(batches, ["node"], 20_000):
