@@ -4,14 +4,15 @@ Each text is the set of its shingles of words. A run is a random tree: a node pa
 on to a child for each of its shingles that the node samples and the path has not taken, with
 a chance of one in (threshold * size of the set - shingles taken), so two similar sets expect
 to share at least one child at every depth, however small they are. Sets
-that meet in a small node are compared there; a larger node is split by its children. One
-run finds a similar pair with a known chance, so runs are repeated until the target recall
-is reached: their number follows from the threshold, the depth and the target.
+that meet in a small node are compared there; a larger node is split by its children, down
+to DEPTH. One run finds a similar pair with a known chance, so runs are repeated until the
+target recall is reached: their number follows from the threshold, the depth and the target.
 
-Sets that meet are compared on short sketches first, in blocks where a node stays large. Those that may be similar form
-groups, and in each group every pair of different sets is compared exactly, in blocks. So
-no pair is written out: what leaves a block is each set's number of links, and a few edges
-that hold its part of the group together.
+Sets that meet in a small node are compared on short sketches first. Those that may be
+similar form groups, as do all sets of a node that is large at full depth, similar or not.
+In each group every pair of different sets is compared exactly, in blocks. So no pair is
+written out: what leaves a block is each set's number of links, and a few edges that hold
+its part of the group together.
 
 Equal sets are one set with a weight, so copies cost nothing from the first step on.
 """
@@ -38,8 +39,6 @@ DEPTH = 3
 SMALL = 48
 # Sets of one side of a block of comparisons.
 BLOCK = 256
-# The same where sketches are compared.
-SKETCH_BLOCK = 1024
 SKETCH = 64
 # A similar pair agrees on fewer places of its sketch once in some 30,000 cases.
 _MARGIN = 4.0
@@ -167,12 +166,10 @@ def _meetings(classes: DataFrame, threshold: float) -> DataFrame:
     for more in stopped[1:]:
         nodes = nodes.unionByName(more)
     nodes = staged(nodes, "nodes")
-    large = nodes.where("not small").select("node", "key").join(
-        classes.select("key", "size", "sketch"), "key"
-    )
-    tied = _dealt(large, "node", SKETCH_BLOCK, ["size", "sketch"]).mapInArrow(
-        _near(threshold), "a binary, b binary"
-    )
+    # All sets of a large node at full depth share several sampled shingles: one group.
+    large = nodes.where("not small")
+    least = large.groupBy("node").agg(F.min("key").alias("b"))
+    tied = large.join(least, "node").select(F.col("key").alias("a"), "b")
     small = nodes.where("small").select("node", "key").join(
         classes.select("key", "size", "sketch"), "key"
     )
@@ -416,49 +413,6 @@ def _agreement(threshold: float) -> int:
     return math.floor(SKETCH * (threshold - _MARGIN * spread))
 
 
-def near_pairs(marks: np.ndarray, size: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Edges that join all rows whose sketches say that they may be similar.
-
-    Rows near the first one are joined through it. Only the others are compared with all: so
-    a group of near copies costs its size, and a group of unlike texts its pairs.
-    """
-    least = _agreement(threshold)
-
-    def near(i: int) -> np.ndarray:
-        fits = np.minimum(size, size[i]) >= threshold * np.maximum(size, size[i]) - 1e-9
-        at = np.flatnonzero(fits)
-        return at[(marks[at] == marks[i]).sum(axis=1) >= least]
-
-    first = near(0)
-    rest = np.setdiff1d(np.arange(1, len(size)), first)
-    left, right = [np.zeros(len(first), np.int64)], [first]
-    for i in rest:
-        found = near(i)
-        left.append(np.full(len(found), i))
-        right.append(found)
-    return np.concatenate(left), np.concatenate(right)
-
-
-def _near(threshold: float) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _whole(batches, ["node", "i", "j"], 1):
-            starts = _group_starts(table, ["node", "i", "j"])
-            size = table["size"].to_numpy().astype(float)
-            keys = np.array(table["key"].to_pylist(), object)
-            raw = b"".join(table["sketch"].to_pylist())
-            marks = np.frombuffer(raw, np.uint8).reshape(len(keys), SKETCH)
-            a, b = [], []
-            for low, high in zip(starts, [*starts[1:], len(keys)]):
-                label = labels(high - low, *near_pairs(marks[low:high], size[low:high], threshold))
-                tied = np.flatnonzero(label != np.arange(high - low))
-                a += keys[low + tied].tolist()
-                b += keys[low + label[tied]].tolist()
-            columns = [pa.array(a, pa.binary()), pa.array(b, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
-
-    return run
-
-
 def _compare(threshold: float) -> Callable:
     least = _agreement(threshold)
 

@@ -98,42 +98,6 @@ def test_one_row_of_a_class_is_kept(spark):
     assert sorted(r.links for r in found if r.kept) == [0, 3]
 
 
-def test_shared_passages_make_no_groups(spark, monkeypatch):
-    """Texts that share most words but are not similar meet, yet are not compared in full."""
-    rng = random.Random(6)
-    passage = [f"p{i}" for i in range(120)]
-    rows = [
-        (i, " ".join(passage + [f"w{rng.randrange(10**9)}" for _ in range(80)])) for i in range(1200)
-    ]
-    near = [(5000 + i, " ".join(["x", *rows[7][1].split()[: 199 - i]])) for i in range(3)]
-    checked, compared = jaccard._checked, []
-
-    def counted(rows, classes, groups, *rest):
-        compared.append(groups.count())
-        return checked(rows, classes, groups, *rest)
-
-    monkeypatch.setattr(jaccard, "_checked", counted)
-    df = spark.createDataFrame(rows + near, "doc_id long, text string")
-    linked = {r.doc_id: r.links for r in jaccard.join(df).where("links > 0").collect()}
-    assert linked == {7: 3, 5000: 3, 5001: 3, 5002: 3}
-    assert compared[0] < 40
-
-
-def test_near_pairs_join_all_that_may_be_similar():
-    rng = np.random.default_rng(4)
-    base = rng.integers(0, 256, (5, jaccard.SKETCH), dtype=np.uint8)
-    marks = np.repeat(base, 40, axis=0)
-    noise = rng.random(marks.shape) < 0.1
-    marks = np.where(noise, rng.integers(0, 256, marks.shape, dtype=np.uint8), marks)
-    order = rng.permutation(len(marks))
-    size = rng.uniform(90, 100, len(marks))
-    label = jaccard.labels(len(marks), *jaccard.near_pairs(marks[order], size, 0.8))
-    least = jaccard._agreement(0.8)
-    same = (marks[order][:, None] == marks[order][None]).sum(axis=2) >= least
-    a, b = np.nonzero(same)
-    assert (label == jaccard.labels(len(marks), a, b)).all()
-
-
 def test_runs_follow_from_the_target():
     assert jaccard.runs_needed(0.9) < jaccard.runs_needed(0.99) < jaccard.runs_needed(0.9999)
 
