@@ -74,4 +74,4 @@ def test_odd_and_empty_documents(spark, tmp_path, documents, odd):
 
 def test_queries_are_registered():
     names = set(suite.queries())
-    assert {int(n[2:].split("_")[0]) for n in names} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names} == set(range(1, 14))
