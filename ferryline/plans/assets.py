@@ -144,7 +144,10 @@ def copy_asset_tables(
     base: str,
     buckets: int | None = None,
 ) -> dict[str, DataFrame]:
-    """Copy each asset's table, cut to the sortie's time where the table has a time column."""
+    """Copy each asset's table, cut to the sortie's time where the table has a time column.
+
+    Tables without a key are laid out by that column, so that later cuts read few row groups.
+    """
 
     def cut(column: str | None) -> Callable[[DataFrame], DataFrame]:
         return lambda df: optional_time_range(
@@ -152,7 +155,7 @@ def copy_asset_tables(
         )
 
     select = {name: cut(columns.get(name)) for name in tables}
-    return copy_tables(spark, tables, f"{base}/real_world_flight", select, buckets)
+    return copy_tables(spark, tables, f"{base}/real_world_flight", select, buckets, columns)
 
 
 def metadata_table(spec: FeedSpec, base: str, buckets: int = 1) -> KeyedTable:

@@ -7,12 +7,14 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Semantics every operator relies on. Sizing (shuffle partitions, memory,
-# broadcast threshold) is left to the cluster.
+# Semantics every operator relies on, and timestamps stored as numbers: the default form has
+# no bounds in Parquet footers, so no row group could be skipped by time. Sizing (shuffle
+# partitions, memory, broadcast threshold) is left to the cluster.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.timeType.enabled": "true",
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
 _local_dirs: dict[str, str] = {}

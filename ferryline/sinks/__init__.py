@@ -10,9 +10,11 @@ from ferryline.sinks.append import (
 )
 from ferryline.sinks.compact import compact_loads, read_landed
 from ferryline.sinks.copy import copy_table, copy_tables
+from ferryline.sinks.evolve import SchemaChanged, aligned, evolved, follow
 from ferryline.sinks.fanout import Child, fan_out, route
 from ferryline.sinks.jdbc import jdbc_append, jdbc_types, jdbc_upsert_statement
 from ferryline.sinks.keyed import KeyedTable
+from ferryline.sinks.layout import ordered_by
 from ferryline.sinks.merge import MergeTable
 from ferryline.sinks.publish import encode_messages, end_message, export_json, publish
 
@@ -20,6 +22,8 @@ __all__ = [
     "Child",
     "KeyedTable",
     "MergeTable",
+    "SchemaChanged",
+    "aligned",
     "append",
     "append_once",
     "compact_loads",
@@ -28,11 +32,14 @@ __all__ = [
     "create_if_absent",
     "encode_messages",
     "end_message",
+    "evolved",
     "export_json",
     "fan_out",
+    "follow",
     "jdbc_append",
     "jdbc_types",
     "jdbc_upsert_statement",
+    "ordered_by",
     "publish",
     "read_landed",
     "read_table",

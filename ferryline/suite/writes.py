@@ -13,6 +13,7 @@ from ferryline.sinks import (
     copy_tables,
     export_json,
     fan_out,
+    ordered_by,
     read_table,
     replace_batch,
     replace_batches,
@@ -127,6 +128,69 @@ def copied(spark, sf_dir):
     )
 
 
+# What a source has in its first to fourth state, as (column, type).
+STATES = (
+    (("o_orderkey", "bigint"), ("o_shippriority", "smallint"), ("cents", "decimal(9,1)"),
+     ("day", "date"), ("o_orderstatus", "string")),
+    (("o_orderkey", "bigint"), ("o_shippriority", "bigint"), ("cents", "decimal(20,2)"),
+     ("day", "timestamp_ntz"), ("o_orderstatus", "string")),
+    (("o_clerk", "string"), ("o_orderkey", "bigint"), ("o_shippriority", "bigint"),
+     ("cents", "decimal(20,2)"), ("day", "timestamp_ntz"), ("o_orderstatus", "string")),
+    (("o_clerk", "string"), ("o_orderkey", "bigint"), ("o_shippriority", "int"),
+     ("cents", "decimal(20,2)"), ("day", "date")),
+)
+
+
+def copied_while_changing(spark, sf_dir):
+    """Copies of a source that has other columns each time: wider, added, dropped, narrower.
+
+    Each state of the source has the orders of one remainder of the key, and the keyed copy
+    gets those of the state before again.
+    """
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.lit(7).alias("o_shippriority"),
+        F.col("o_totalprice").cast("decimal(20,2)").alias("cents"),
+        F.col("o_orderdate").alias("day"),
+        "o_orderstatus",
+        F.col("o_orderpriority").alias("o_clerk"),
+    )
+    base = new_dir(spark, "changing")
+    state = F.col("o_orderkey") % len(STATES)
+    for i, columns in enumerate(STATES):
+        for name, rows in (("keyed", state.isin(i, max(0, i - 1))), ("plain", state == i)):
+            kept = orders.where(rows).withColumn("cents", F.floor(F.abs("cents") % 1000))
+            kept.select(*[F.col(c).cast(t).alias(c) for c, t in columns]).write.parquet(
+                f"{base}/source/{i}/{name}"
+            )
+        sources = {
+            "keyed": TableRef("parquet", f"{base}/source/{i}/keyed", keys=("o_orderkey",)),
+            "plain": TableRef("parquet", f"{base}/source/{i}/plain"),
+        }
+        copies = copy_tables(spark, sources, f"{base}/copy", order={"plain": "day"})
+    return op.union_all(
+        [
+            copies[name].select(
+                F.lit(name).alias("target"),
+                "o_orderkey",
+                "o_shippriority",
+                F.col("cents").cast("double").alias("cents"),
+                "day",
+                "o_orderstatus",
+                "o_clerk",
+            )
+            for name in ("keyed", "plain")
+        ]
+    )
+
+
+def cut_after_ordering(spark, sf_dir):
+    """Rows between two times of a table that was laid out by time when it was written."""
+    path = new_dir(spark, "ordered")
+    append(ordered_by(table(spark, sf_dir, "events"), "ts"), path)
+    return op.time_range(read_table(spark, path), "ts", 1704844800000, 1705708800000)
+
+
 def exported(spark, sf_dir):
     customer = table(spark, sf_dir, "customer")
     path = export_json(customer, new_dir(spark, "export"), "customer", 1704844800000)
@@ -141,7 +205,33 @@ def delivered_twice(spark, sf_dir):
     return read_table(spark, path, events.schema)
 
 
+CHANGING_SQL = """
+    WITH source AS (
+        SELECT o_orderkey, CAST(7 AS BIGINT) AS o_shippriority,
+               floor(abs(CAST(o_totalprice AS DECIMAL(20, 2))) % 1000)::DOUBLE AS cents,
+               CAST(o_orderdate AS TIMESTAMP) AS day, o_orderstatus, o_orderpriority AS o_clerk,
+               o_orderkey % 4 AS state
+        FROM orders
+    ), copies AS (
+        SELECT 'keyed' AS target, least(state + 1, 3) AS last, * FROM source
+        UNION ALL SELECT 'plain', state, * FROM source
+    )
+    SELECT target, o_orderkey, o_shippriority, cents,
+           CASE WHEN last IN (0, 3) THEN date_trunc('day', day)::TIMESTAMP ELSE day END AS day,
+           CASE WHEN last < 3 THEN o_orderstatus END AS o_orderstatus,
+           CASE WHEN last >= 2 THEN o_clerk END AS o_clerk
+    FROM copies
+"""
+
+
 QUERIES = {
+    "q17b_time_layout": (
+        cut_after_ordering,
+        """
+        SELECT * FROM events
+        WHERE epoch_us(ts) // 1000 BETWEEN 1704844800000 AND 1705708800000
+        """,
+    ),
     "q30_append": (appended, "SELECT * FROM orders"),
     "q33_replace_batch": (
         batches_replaced,
@@ -185,6 +275,7 @@ QUERIES = {
         UNION ALL SELECT 'part', p_partkey, p_brand FROM part
         """,
     ),
+    "q36b_changing_source": (copied_while_changing, CHANGING_SQL),
     "q38_json_export": (exported, "SELECT * FROM customer"),
     "q41_replay_safe_append": (delivered_twice, "SELECT * FROM events"),
 }
