@@ -1,5 +1,6 @@
 """Writers: append, replace a batch, keyed tables, fan-out, copy and publish."""
 
+from ferryline.sinks.apart import Counts, land_apart
 from ferryline.sinks.append import (
     append,
     append_once,
@@ -20,6 +21,7 @@ from ferryline.sinks.publish import encode_messages, end_message, export_json, p
 
 __all__ = [
     "Child",
+    "Counts",
     "KeyedTable",
     "MergeTable",
     "SchemaChanged",
@@ -39,6 +41,7 @@ __all__ = [
     "jdbc_append",
     "jdbc_types",
     "jdbc_upsert_statement",
+    "land_apart",
     "ordered_by",
     "publish",
     "read_landed",

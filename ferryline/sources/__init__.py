@@ -4,13 +4,16 @@ from ferryline.sources.changelog import decode_changes, snapshot_changes
 from ferryline.sources.files import csv_feed, json_array_files, json_document_files
 from ferryline.sources.json_arrays import json_array_splits
 from ferryline.sources.messages import (
+    bad_messages,
     decode_arrays,
     decode_envelopes,
     decode_objects,
     decode_xml,
     kafka_options,
     read_messages,
+    records_of,
     rejected,
+    with_reasons,
 )
 from ferryline.sources.tables import (
     TableRef,
@@ -22,6 +25,7 @@ from ferryline.sources.tables import (
 
 __all__ = [
     "TableRef",
+    "bad_messages",
     "csv_feed",
     "decode_arrays",
     "decode_changes",
@@ -37,6 +41,8 @@ __all__ = [
     "normalize_types",
     "point_lookup",
     "read_messages",
+    "records_of",
     "rejected",
     "snapshot_changes",
+    "with_reasons",
 ]

@@ -27,6 +27,10 @@ OFFSETS_PER_BATCH = 1_000_000
 # ``rejected`` gives it with the reason.
 FAIL, SKIP = "fail", "skip"
 
+# Columns of parsed messages.
+RECORDS, REASON = "_records", "_reason"
+_BROKEN, _LIST = "_broken", "_list"
+
 
 def kafka_options(
     servers: str,
@@ -59,72 +63,114 @@ def read_messages(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     )
 
 
-def _json(text: str | Column, schema: DataType) -> Column:
-    column = F.col(text) if isinstance(text, str) else text
-    return F.from_json(column, schema, _STRICT)
-
+def with_reasons(
+    df: DataFrame,
+    schema: StructType | ArrayType,
+    value: str = "value",
+    keep: list[str] | None = None,
+    strict: bool = True,
+    field: str | None = None,
+) -> DataFrame:
+    """Each message parsed once: its record or list of records, or the reason why it is bad.
 
-def _reason(
-    value: Column, opening: str, names: list[str] | None = None, field: str | None = None
-) -> Column:
-    """Why a text is no message of its kind, or null; broken JSON is not looked for."""
-    text = F.trim(value)
-    reason = F.when(F.coalesce(text == "", F.lit(True)), F.lit("null or blank")).when(
-        ~text.startswith(opening), F.lit(f"does not begin with {opening}")
+    Gives ``keep``, the text, RECORDS and REASON (null for a good message), one row for each
+    message, so that good and bad ones can be written from one frame (``land_apart``).
+    ``schema`` is that of an object or an array. With ``field``, the records are a list
+    under that field of an object; ``strict`` then does not look for other fields.
+    """
+    array = isinstance(schema, ArrayType)
+    text = F.col(value)
+    # An object marks what is wrong anywhere below it; elements of a bare list do not.
+    whole, inside, shape = text, field, schema
+    if array:
+        whole, inside = F.concat(F.lit(f'{{"{_LIST}":'), text, F.lit("}")), _LIST
+        shape = StructType([StructField(_LIST, schema)])
+    elif field is not None:
+        shape = StructType([StructField(field, ArrayType(schema))])
+    marked = StructType([*shape, StructField(_BROKEN, StringType())])
+    options = {"columnNameOfCorruptRecord": _BROKEN, **JSON_OPTIONS}
+    taken = [F.from_json(whole, marked, options).alias("_parsed")]
+    if array:  # a text such as [],"x":1 is a list within the object only
+        taken.append(F.json_object_keys(whole).alias("_fields"))
+    if field is not None or (strict and not array):
+        taken.append(F.json_object_keys(text).alias("_keys"))
+    elif strict:
+        each = F.from_json(text, "array<map<string,string>>", JSON_OPTIONS)
+        keys = F.flatten(F.transform(F.filter(each, F.isnotnull), F.map_keys))
+        taken.append(keys.alias("_keys"))
+    columns = list(dict.fromkeys([*(keep or []), value]))
+    # A step of its own: Spark does not repeat such columns where they are used.
+    df = df.select(*columns, *taken)
+
+    trimmed = F.trim(text)
+    opening = "[" if array else "{"
+    reason = F.when(F.coalesce(trimmed == "", F.lit(True)), F.lit("null or blank")).when(
+        ~trimmed.startswith(opening), F.lit(f"does not begin with {opening}")
     )
     if field is not None:
-        absent = ~F.array_contains(F.json_object_keys(value), field)
-        reason = reason.when(absent, F.lit(f"no field {field}"))
-    if names is not None:
-        keys = F.json_object_keys(value)
-        if opening == "[":
-            each = F.from_json(value, "array<map<string,string>>", JSON_OPTIONS)
-            keys = F.flatten(F.transform(F.filter(each, F.isnotnull), F.map_keys))
-        unknown = F.array_except(keys, F.array(*map(F.lit, names)))
-        reason = reason.when(
-            F.size(unknown) > 0, F.concat(F.lit("unknown fields: "), F.array_join(unknown, ", "))
-        )
-    return reason
-
-
-def _parsed(
-    df: DataFrame, value: str, schema: DataType, reason: Column, bad: str, keep: list[str]
+        reason = reason.when(~F.array_contains("_keys", field), F.lit(f"no field {field}"))
+    elif strict:
+        names = (schema.elementType if array else schema).names
+        unknown = F.array_except("_keys", F.array(*map(F.lit, names)))
+        listed = F.concat(F.lit("unknown fields: "), F.array_join(unknown, ", "))
+        reason = reason.when(F.size(unknown) > 0, listed)
+    # What follows a whole value is not looked at by the parser.
+    ends = F.rtrim(text, F.lit(" \t\r\n")).endswith("]" if array else "}")
+    broken = F.col("_parsed").getField(_BROKEN).isNotNull() | ~ends
+    if array:
+        broken = broken | F.coalesce(F.size("_fields") != 1, F.lit(True))
+    reason = reason.when(broken, F.lit("broken"))
+    records = F.col("_parsed") if inside is None else F.col("_parsed").getField(inside)
+    return df.select(*columns, records.alias(RECORDS), reason.alias(REASON))
+
+
+def records_of(parsed: DataFrame, schema: StructType | ArrayType, keep: list[str] | None = None) -> DataFrame:
+    """The records of the good messages of ``with_reasons``."""
+    names = (schema.elementType if isinstance(schema, ArrayType) else schema).names
+    return _records(parsed.where(F.col(REASON).isNull()), names, keep or [])
+
+
+def bad_messages(parsed: DataFrame, value: str = "value", keep: list[str] | None = None) -> DataFrame:
+    """The bad messages of ``with_reasons``: ``keep``, the text and its ``reason``."""
+    columns = [c for c in dict.fromkeys([*(keep or []), value]) if c != "reason"]
+    bad = parsed.where(F.col(REASON).isNotNull())
+    return bad.select(*columns, F.col(REASON).alias("reason"))
+
+
+def _records(parsed: DataFrame, names: list[str], keep: list[str]) -> DataFrame:
+    if isinstance(parsed.schema[RECORDS].dataType, ArrayType):
+        # Not explode: for that Spark tests the list before, which parses each text again.
+        parsed = parsed.select(*keep, F.explode_outer(RECORDS).alias(RECORDS))
+        parsed = parsed.where(F.col(RECORDS).isNotNull())
+    return parsed.select(*keep, *[F.col(RECORDS).getField(n).alias(n) for n in names])
+
+
+def _decoded(
+    df: DataFrame,
+    schema: StructType | ArrayType,
+    value: str,
+    keep: list[str],
+    bad: str,
+    strict: bool = True,
+    field: str | None = None,
 ) -> DataFrame:
-    """The decoded messages as ``_r``, by policy."""
-    if bad == FAIL:
-        told = F.raise_error(F.concat(F.lit("bad message: "), reason))
-        text = F.when(reason.isNotNull(), told).otherwise(F.col(value))
-        return df.select(*keep, _json(text, schema).alias("_r"))
-    if bad != SKIP:
+    """The records, by policy for bad messages."""
+    parsed = with_reasons(df, schema, value, keep, strict, field)
+    if bad == SKIP:
+        return records_of(parsed, schema, keep)
+    if bad != FAIL:
         raise ValueError(f"bad must be {FAIL!r} or {SKIP!r}")
-    return (
-        df.where(reason.isNull() & ~_broken(F.col(value), schema))
-        .select(*keep, F.from_json(value, schema, JSON_OPTIONS).alias("_r"))
-    )
-
-
-def _broken(value: Column, schema: DataType) -> Column:
-    """Whether a text is not JSON of a schema."""
-    record = schema.elementType if isinstance(schema, ArrayType) else schema
-    marked = StructType([*record, StructField("_broken", StringType())])
-    options = {"columnNameOfCorruptRecord": "_broken", **JSON_OPTIONS}
-    if not isinstance(schema, ArrayType):
-        return F.from_json(value, marked, options).getField("_broken").isNotNull()
-    parsed = F.from_json(value, ArrayType(marked), options)
-    return parsed.isNull() | F.exists(
-        parsed, lambda r: F.coalesce(r.getField("_broken").isNotNull(), F.lit(False))
-    )
+    reason = F.col(REASON)
+    told = F.when(reason == "broken", F.concat(F.lit("Malformed message: "), F.left(value, F.lit(200))))
+    told = told.otherwise(F.concat(F.lit("bad message: "), reason))
+    checked = F.when(reason.isNotNull(), F.raise_error(told)).otherwise(F.col(RECORDS))
+    names = (schema.elementType if isinstance(schema, ArrayType) else schema).names
+    return _records(parsed.select(*keep, checked.alias(RECORDS)), names, keep)
 
 
 def rejected(df: DataFrame, schema: DataType, value: str = "value", strict: bool = True) -> DataFrame:
     """The messages that ``bad="skip"`` leaves out of objects or arrays, with their reason."""
-    array = isinstance(schema, ArrayType)
-    names = (schema.elementType if array else schema).names if strict else None
-    why = F.coalesce(
-        _reason(F.col(value), "[" if array else "{", names),
-        F.when(_broken(F.col(value), schema), F.lit("broken")),
-    )
-    return df.withColumn("reason", why).where(F.col("reason").isNotNull())
+    return bad_messages(with_reasons(df, schema, value, df.columns, strict), value, df.columns)
 
 
 def decode_objects(
@@ -140,9 +186,7 @@ def decode_objects(
     A null or blank message, one that is no object, and, if ``strict``, one with fields
     that are not declared, is bad.
     """
-    reason = _reason(F.col(value), "{", schema.names if strict else None)
-    rows = _parsed(df, value, schema, reason, bad, keep or [])
-    return rows.select(*(keep or []), "_r.*")
+    return _decoded(df, schema, value, keep or [], bad, strict)
 
 
 def decode_arrays(
@@ -154,17 +198,7 @@ def decode_arrays(
     strict: bool = True,
 ) -> DataFrame:
     """One message is a list of records; null elements are dropped. Bad as in objects."""
-    reason = _reason(F.col(value), "[", schema.names if strict else None)
-    rows = _parsed(df, value, ArrayType(schema), reason, bad, keep or [])
-    return _each(rows, F.col("_r"), keep)
-
-
-def _each(df: DataFrame, records: Column, keep: list[str] | None) -> DataFrame:
-    return (
-        df.select(*(keep or []), F.explode(records).alias("_r"))
-        .where(F.col("_r").isNotNull())
-        .select(*(keep or []), "_r.*")
-    )
+    return _decoded(df, ArrayType(schema), value, keep or [], bad, strict)
 
 
 def decode_envelopes(
@@ -179,9 +213,7 @@ def decode_envelopes(
 
     A body without the field, such as an error body, is bad; a null list has no records.
     """
-    envelope = StructType([StructField(field, ArrayType(schema))])
-    rows = _parsed(df, value, envelope, _reason(F.col(value), "{", field=field), bad, keep or [])
-    return _each(rows, F.col("_r").getField(field), keep)
+    return _decoded(df, schema, value, keep or [], bad, field=field)
 
 
 def decode_xml(
@@ -197,7 +229,8 @@ def decode_xml(
     ``carry`` names further fields of that element to keep next to the document.
     """
     fields = [StructField(xml_field, StringType())] + list(carry or [])
-    first = F.get(_json(value, ArrayType(StructType(fields))), F.lit(0))
+    listed = F.from_json(F.col(value), ArrayType(StructType(fields)), _STRICT)
+    first = F.get(listed, F.lit(0))
     carried = [f.name for f in carry or []]
     return (
         df.select(*(keep or []), first.alias("_e"))

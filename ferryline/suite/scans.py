@@ -9,6 +9,8 @@ from ferryline.functions import epoch_ms, epoch_ms_to_local, has_prefix
 from ferryline.operators import key_equals, stamp
 from ferryline.plans import flight_plans
 from ferryline.session import new_dir
+from ferryline.sinks.apart import land_apart
+from ferryline.sinks.append import append, read_table
 from ferryline.sinks.publish import encode_messages
 from ferryline.sources import (
     TableRef,
@@ -21,6 +23,7 @@ from ferryline.sources import (
     json_array_splits,
     json_document_files,
     point_lookup,
+    with_reasons,
 )
 from ferryline.suite.tables import blocks, table, write_texts
 
@@ -102,6 +105,42 @@ def array_messages(spark, sf_dir):
     return decode_arrays(messages, events.schema)
 
 
+def dead_letters(spark, sf_dir):
+    """Lists of records of which three in ten are bad: cut off, with an unknown field, or null."""
+    events = table(spark, sf_dir, "events").select(*EVENT)
+    text, kind = F.to_json("records"), F.col("block") % 10
+    sent = (
+        F.when(kind == 3, F.substring(text, 1, 40))
+        .when(kind == 5, F.regexp_replace(text, '"user_id"', '"userId"'))
+        .when(kind != 7, text)
+    )
+    messages = blocks(events, "event_id", 100).select("block", sent.alias("value"))
+    schema, base = ArrayType(events.schema), new_dir(spark, "dead-letters")
+    parsed = with_reasons(messages, schema, keep=["block"])
+    land_apart(
+        parsed,
+        schema,
+        lambda good: append(good, f"{base}/events"),
+        lambda bad: append(bad, f"{base}/events_rejected"),
+        ["block"],
+    )
+    good, bad = (read_table(spark, f"{base}/{name}") for name in ("events", "events_rejected"))
+    return good.select(*EVENT, F.lit(None).cast("string").alias("reason")).unionByName(
+        bad.select(F.col("block").alias("event_id"), "reason"), allowMissingColumns=True
+    )
+
+
+DEAD_LETTERS_SQL = """
+    SELECT event_id, user_id, event_type, value, CAST(NULL AS VARCHAR) AS reason
+    FROM events WHERE event_id // 100 % 10 NOT IN (3, 5, 7)
+    UNION ALL
+    SELECT DISTINCT event_id // 100, CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), CAST(NULL AS DOUBLE),
+           CASE event_id // 100 % 10 WHEN 3 THEN 'broken' WHEN 5 THEN 'unknown fields: userId'
+                ELSE 'null or blank' END
+    FROM events WHERE event_id // 100 % 10 IN (3, 5, 7)
+"""
+
+
 def envelopes(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     bodies = blocks(orders, "o_orderkey", 50, name="data").select(
@@ -202,6 +241,7 @@ QUERIES = {
         array_messages,
         "SELECT event_id, user_id, event_type, value FROM events",
     ),
+    "q05b_dead_letters": (dead_letters, DEAD_LETTERS_SQL),
     "q06_envelope": (envelopes, "SELECT o_orderkey, o_custkey, o_totalprice FROM orders"),
     "q07_xml_payload": (
         xml_documents,
