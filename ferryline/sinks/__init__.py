@@ -13,7 +13,7 @@ from ferryline.sinks.compact import compact_loads, read_landed
 from ferryline.sinks.copy import copy_table, copy_tables
 from ferryline.sinks.evolve import SchemaChanged, aligned, evolved, follow
 from ferryline.sinks.fanout import Child, fan_out, route
-from ferryline.sinks.jdbc import jdbc_append, jdbc_types, jdbc_upsert_statement
+from ferryline.sinks.jdbc import Database, DatabaseTable, jdbc_append, jdbc_types, jdbc_upsert_statement
 from ferryline.sinks.keyed import KeyedTable
 from ferryline.sinks.layout import ordered_by
 from ferryline.sinks.merge import MergeTable
@@ -22,6 +22,8 @@ from ferryline.sinks.publish import encode_messages, end_message, export_json, p
 __all__ = [
     "Child",
     "Counts",
+    "Database",
+    "DatabaseTable",
     "KeyedTable",
     "MergeTable",
     "SchemaChanged",
