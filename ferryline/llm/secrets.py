@@ -67,8 +67,8 @@ def candidates(
     """Every candidate of every whole text, written to files.
 
     Returns cid, doc_id, text_hash (xxhash64 of the text), place (from 0 in its text),
-    start and stop in code points, candidate, before and after (some characters beside it)
-    and path. Null texts and texts without candidates give no rows; a null path is empty;
+    start and stop in code points, candidate, before and after (some characters beside it;
+    before holds at least the word that it stands in) and path. Null texts and texts without candidates give no rows; a null path is empty;
     repeated rows give repeated candidates.
     """
     path = filled(path_col) if path_col else F.lit("")
@@ -82,11 +82,14 @@ def candidates(
     at = F.explode(F.expr("sequence(0, size(parts) div 2 - 1)").cast("array<int>"))
     rows = rows.withColumn("row", F.monotonically_increasing_id()).withColumn("place", at)
     before = F.expr("parts[2 * place]")
+    # A URL that a candidate stands in may begin before the context.
+    word = F.element_at(F.split(before, r"\s"), -1)
+    beside = F.when(F.length(word) > CONTEXT, word).otherwise(F.substring(before, -CONTEXT, CONTEXT))
     found = rows.select(
         "row", "doc_id", "text_hash", "path", "place",
         F.length(before).alias("gap"),
         F.expr("parts[2 * place + 1]").alias("candidate"),
-        F.substring(before, -CONTEXT, CONTEXT).alias("before"),
+        beside.alias("before"),
         F.substring(F.expr("parts[2 * place + 2]"), 1, CONTEXT).alias("after"),
     )
     found = staged(found, "candidates")
@@ -156,10 +159,8 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
 
     chances = transitions(words)
     table = F.create_map(*[F.lit(x) for pair in sorted(chances.items()) for x in pair]) if chances else None
-    letters = F.filter(
-        F.transform(F.sequence(F.lit(1), F.least(size - 1, F.lit(512))), lambda i: F.lower(F.substr(c, i, F.lit(2)))),
-        lambda pair: pair.rlike("^[a-z]{2}$"),
-    )
+    # Every two letters that stand beside each other, of the whole candidate.
+    letters = F.regexp_extract_all(F.lower(c), F.lit("(?=([a-z]{2}))"), F.lit(1))
     unlikely = F.lit(-8.0)
     likelihood = (
         F.when(

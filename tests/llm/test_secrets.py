@@ -96,6 +96,23 @@ def test_features_by_hand(spark):
     assert r.words == 0 and r.label == 1
 
 
+def test_features_are_of_the_whole_candidate(spark):
+    """What follows after many characters counts, as does a URL that began long before."""
+    same = "ab" * 300
+    texts = [f"x 1{same}{end} y" for end in ("ab" * 300, "zq" * 300)]
+    texts += ["see https://host/" + "?" * 100 + "abcdefabcdef12", "see " + "?" * 100 + "abcdefabcdef12"]
+    df = spark.createDataFrame([(i, t, "src", "en", 0, 0) for i, t in enumerate(texts)], SCHEMA)
+    words = spark.createDataFrame([("abababab", 1000), ("azaqa", 1)], "word string, n long")
+    known = {r.doc_id: r for r in secrets.features(secrets.candidates(df), words).collect()}
+    chance = secrets.transitions(words)
+    for i, text in enumerate(texts[:2]):
+        pairs = [chance.get(a + b, -8.0) for a, b in zip(text[3:-2], text[4:-2])]
+        assert len(pairs) == 1199
+        assert known[i].likelihood == pytest.approx(sum(pairs) / 1199)
+    assert known[1].likelihood < known[0].likelihood
+    assert [known[i].address for i in (2, 3)] == [1, 0]
+
+
 def test_copies_of_a_secret_do_not_make_it_words(spark, planted):
     """An unnamed secret is measured alike in one document, in copies and in a shared passage."""
     rng = np.random.default_rng(8)
