@@ -117,15 +117,16 @@ def parts(text: Column) -> Column:
 def word_counts(df: DataFrame, text_col: str = "text", least: int = MIN_COUNT) -> DataFrame:
     """Words that enough different texts have outside candidates: word, n. Written to files.
 
-    Copies of a text count once, and so does a word within a text. From TEXTS_A_COUNT *
-    least rows on, a word must be in one of TEXTS_A_COUNT of them.
+    Words of three letters or more count, from whole texts. Copies of a text count once, and
+    so does a word within a text. From TEXTS_A_COUNT * least rows on, a word must be in one
+    of TEXTS_A_COUNT of them.
     """
     least = max(least, df.count() // TEXTS_A_COUNT)
     texts = df.select(F.xxhash64(filled(text_col)).alias("hash"), filled(text_col).alias("text"))
     between = F.filter(parts(F.col("text")), lambda part, i: i % 2 == 0)
     # Only words and the hash of their text are shuffled, once for each text.
     words = F.array_distinct(F.split(F.lower(F.array_join(between, " ")), r"[^\p{L}]+"))
-    found = texts.select("hash", F.explode(words).alias("word")).where(F.length("word").between(3, 24))
+    found = texts.select("hash", F.explode(words).alias("word")).where(F.length("word") >= 3)
     counts = found.distinct().groupBy("word").agg(F.count("*").alias("n"))
     return staged(counts.where(F.col("n") >= least), "words")
 
