@@ -97,3 +97,15 @@ def test_elements_within_a_split_are_shuffled_once(spark, tmp_path):
     # The text's way to its split; the rest are totals of splits and parts at their borders.
     wide = [line for line in plan.splitlines() if "Exchange" in line and "_block" in line]
     assert len(wide) <= 6 and "SinglePartition" not in plan
+
+
+def test_text_is_not_shuffled_within_splits(spark, tmp_path):
+    """Pieces of text go from the reader to the elements in order, without exchange or sort."""
+    (tmp_path / "a.json").write_text(json.dumps([{"n": i, "s": "x"} for i in range(50)]))
+    found = json_array_splits(spark, str(tmp_path), SCHEMA, place=True)
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    plan = found._jdf.queryExecution().explainString(mode)
+    steps = [p for p in plan.split("\n\n") if p.startswith("(") and ("Exchange" in p or " Sort" in p)]
+    assert any("begins_inside" in p for p in steps)
+    assert not [p for p in steps if "value#" in p]
+    assert [r.n for r in found.orderBy("_row").collect()] == list(range(50))
