@@ -6,7 +6,7 @@ import random
 import pytest
 
 from ferryline.sources import json_array_splits
-from ferryline.sources.json_arrays import PLACE
+from ferryline.sources.json_arrays import PLACE, _offsets, _pieces
 
 SCHEMA = "n BIGINT, s STRING, o STRUCT<s: STRING, l: ARRAY<STRUCT<n: BIGINT>>>"
 
@@ -109,3 +109,12 @@ def test_text_is_not_shuffled_within_splits(spark, tmp_path):
     assert any("begins_inside" in p for p in steps)
     assert not [p for p in steps if "value#" in p]
     assert [r.n for r in found.orderBy("_row").collect()] == list(range(50))
+
+
+def test_whole_files_need_no_totals(spark, tmp_path, split_bytes):
+    """Only splits of files with several are gone through beforehand."""
+    for i in range(3):
+        (tmp_path / f"{i}.json").write_text(json.dumps([{"n": n, "s": "x"} for n in range(5 * i + 1)]))
+    splits = _pieces(spark, str(tmp_path)).select("_file", "_block").distinct().count()
+    assert _offsets(_pieces(spark, str(tmp_path))).count() == (0 if splits == 3 else splits - 1)
+    assert json_array_splits(spark, str(tmp_path), SCHEMA).count() == 18

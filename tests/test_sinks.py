@@ -1,3 +1,4 @@
+import importlib
 import json
 
 import pytest
@@ -20,6 +21,7 @@ from ferryline.sinks import (
 )
 from ferryline.operators import order_key
 from ferryline.sinks import keyed as keyed_sink
+from ferryline.sinks.fanout import Child, fan_out
 from ferryline.sinks.paths import Files
 from ferryline.sources import TableRef
 from ferryline.sources.changelog import DELETED
@@ -286,6 +288,28 @@ def test_batches(spark, tmp_path, rows):
     assert rows(read_table(spark, path, schema)) == [(30, "02"), (7, "01")]
 
 
+def test_fan_out_of_files_shuffles_no_rows(spark, tmp_path, rows, monkeypatch):
+    """Rows of file loads are written where they are read, and only loads there before are looked up."""
+    roots = spark.range(8).selectExpr("id", "CAST(id % 4 AS STRING) AS load_id", "array(id, -id) AS n").cache()
+    children = [Child("child", lambda d: d.selectExpr("load_id", "explode(n) AS n").where("n <> 0"))]
+    root = Child("root", lambda d: d.select("id", "load_id"))
+    hinted, written = [], []
+    append = importlib.import_module("ferryline.sinks.append")
+    hint, write = type(roots).hint, append._overwrite_partitions
+    monkeypatch.setattr(type(roots), "hint", lambda df, *a: hinted.append(a) or hint(df, *a))
+    monkeypatch.setattr(append, "_overwrite_partitions", lambda df, *a: written.append(a) or write(df, *a))
+    for _ in range(2):
+        fan_out(roots, children, root, str(tmp_path))
+    assert not hinted and len(written) == 4
+    fan_out(roots.where("id <> 0 OR load_id <> '0'").where("load_id <> '1'"), children, root, str(tmp_path))
+    found = rows(spark.read.parquet(f"{tmp_path}/child"), "n")
+    assert found == sorted([(n,) for i in range(1, 8) for n in (i, -i)], key=repr)
+    # A load that has no rows for a table any more is emptied there.
+    fan_out(roots.where("load_id = '2'").selectExpr("id", "load_id", "array(0L) AS n"), children, root, str(tmp_path))
+    found = rows(spark.read.parquet(f"{tmp_path}/child"), "n")
+    assert found == sorted([(n,) for i in range(1, 8) if i % 4 != 2 for n in (i, -i)], key=repr)
+
+
 def test_append_once(spark, tmp_path, rows):
     path = str(tmp_path / "t")
     df = spark.createDataFrame([(1,), (1,)], "v INT")
