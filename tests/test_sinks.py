@@ -2,6 +2,7 @@ import importlib
 import json
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ferryline.session import new_dir, shared_dir
@@ -61,6 +62,29 @@ def test_shuffled_merge_gives_the_same(spark, keyed, rows):
     assert dict(rows(keyed.read(spark))) == {i: "old" if i < 25 else "new" for i in range(75)}
 
 
+def test_a_merge_gathers_rows_by_directory_at_once(spark, keyed, rows, monkeypatch):
+    """Rows are merged where they are written: they are not shuffled again in between."""
+    plans, merged = [], keyed_sink.KeyedTable._merged
+
+    def seen(*given):
+        plans.append(merged(*given))
+        return plans[-1]
+
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        keyed.upsert(frame(spark, *[(i, "old", 0) for i in range(200)]), ["n"], across_loads=True)
+        monkeypatch.setattr(keyed_sink.KeyedTable, "_merged", seen)
+        monkeypatch.setattr(keyed_sink, "SLICE_BYTES", 1, raising=False)
+        keyed.upsert(frame(spark, *[(i, "new", 1) for i in range(100, 300)]), ["n"], across_loads=True)
+    finally:
+        spark.conf.set(name, before)
+    want = {i: "old" if i < 100 else "new" for i in range(300)}
+    assert dict(rows(keyed.read(spark), "k", "v")) == want
+    assert "RebalancePartitions" not in plans[0]._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_only_touched_directories_are_rewritten(spark, keyed):
     def written():
         return {r["f"] for r in keyed._read(spark, keyed.path).selectExpr("_metadata.file_path AS f").distinct().collect()}
@@ -387,6 +411,16 @@ def test_directories_from_the_size_of_the_first_load(spark, tmp_path, rows):
     assert rows(wide.read(spark)) == rows(small.read(spark))
 
 
+def test_directories_of_a_joined_load(spark, tmp_path):
+    """Spark takes a join for as large as both sides multiplied; that is no size of a load."""
+    path = str(tmp_path / "in")
+    spark.range(200_000).selectExpr("id AS k", "uuid() AS v", "1 AS n").write.parquet(path)
+    one, other = spark.read.parquet(path), spark.read.parquet(path).select("k", F.upper("v").alias("w"))
+    table = KeyedTable(str(tmp_path / "joined"), SCHEMA, ("k",), buckets=None)
+    table.upsert(one.join(other, "k").where("k < 50"), ["n"])
+    assert table.directories(spark) == 1
+
+
 def test_copies_under_a_declared_key_are_not_reduced(spark, tmp_path, monkeypatch):
     """A first copy is one pass: no window over the key, no shuffle but that of the write."""
     spark.range(100).write.parquet(str(tmp_path / "in"))
