@@ -90,6 +90,24 @@ def test_timers_and_closed_keys_survive_a_restart(spark, tmp_path):
     assert run.found()[0] == [("a", 1, "open"), ("a", 3, "late"), ("b", 2, "open"), ("b", 4, "open")]
 
 
+def test_no_group_holds_all_rows_of_a_key(spark, tmp_path):
+    """A worker holds what a group gives, so a hot key is many groups; it still closes once."""
+    run = Closing(spark, tmp_path, grace=1)
+    rows = spark.range(20_000).selectExpr("'a' AS k", "id AS n", "'row' AS what")
+    rows.unionByName(spark.createDataFrame([("a", None, "end")], ROWS)).coalesce(1).write.parquet(run.source)
+    query = run.start()
+    try:
+        run.wait_for("a", rows=20_000)
+    finally:
+        query.stop()
+    found = run.found()[0]
+    assert found == sorted(("a", n, "open") for n in range(20_000))
+    table = spark.read.parquet(run.out)
+    assert table.where("state = 'closed'").count() == 1
+    states = spark.read.format("statestore").option("stateVarName", "closing").load(run.check)
+    assert states.where("key.k = 'a'").count() > 100
+
+
 TIMED = "id BIGINT, v STRING, timestamp TIMESTAMP"
 
 
